@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from affinis.operators.walk import DIGITS
-from affinis.plans.queries import DENSE_DIGITS, FOLDS, MAX_TEST, WALK_STEPS
+from affinis.operators.walk import DIGITS, MAX_STEPS
+from affinis.plans.queries import FINE_DIGITS, FINE_STEPS, FOLDS, MAX_TEST, WALK_STEPS
 
 RAW = """raw AS (
   SELECT o_custkey AS u, l_partkey AS i, l_quantity AS r, o_orderdate AS ts
@@ -87,8 +87,8 @@ sims AS (SELECT i, j, sum(term) AS units FROM quad GROUP BY i, j {having})"""
 
 
 SWING_TOP = _top("top", "sims", "units", 20)
-MODEL = 'SELECT i AS item_i, j AS item_j, round({score}, 6) AS sim, n AS rank FROM top'
-FROM_SIM = MODEL.format(score="s")
+MODEL = 'SELECT i AS item_i, j AS item_j, {score} AS sim, n AS rank FROM top'
+FROM_SIM = MODEL.format(score="round(s, 6)")
 FROM_UNITS = MODEL.format(score="CAST(s AS DOUBLE) / 1e10")
 
 
@@ -104,7 +104,7 @@ recs AS (
   WHERE n <= 100)"""
 
 
-SHOW_RECS = 'SELECT u AS "user", i AS item, round(CAST(units AS DOUBLE) / 1e10, 6) AS score, n AS rank FROM recs'
+SHOW_RECS = 'SELECT u AS "user", i AS item, CAST(units AS DOUBLE) / 1e10 AS score, n AS rank FROM recs'
 
 COUNTS = """
 eligible AS (SELECT u FROM recs INTERSECT SELECT u FROM test INTERSECT SELECT u FROM train),
@@ -115,9 +115,9 @@ counts AS (
          (SELECT count(DISTINCT i) FROM recs) AS recommended_items,
          (SELECT count(DISTINCT i) FROM train) AS train_items)"""
 
-PRECISION = "round(hits / CAST(nullif(slots, 0) AS DOUBLE), 6) AS precision"
-RECALL = "round(hits / CAST(nullif(test_items, 0) AS DOUBLE), 6) AS recall"
-COVERAGE = "round(recommended_items / CAST(nullif(train_items, 0) AS DOUBLE), 6) AS coverage"
+PRECISION = "hits / CAST(nullif(slots, 0) AS DOUBLE) AS precision"
+RECALL = "hits / CAST(nullif(test_items, 0) AS DOUBLE) AS recall"
+COVERAGE = "recommended_items / CAST(nullif(train_items, 0) AS DOUBLE) AS coverage"
 ALL_METRICS = f"""SELECT hits, slots, test_items, recommended_items, train_items,
   {PRECISION}, {RECALL}, {COVERAGE} FROM counts"""
 
@@ -130,12 +130,17 @@ TRANSITION = f"{EDGES},{DEGREE},\ntransition AS (SELECT src, dst, 1e0 / deg AS w
 
 
 def _walk(t: str, steps: int, digits: int) -> str:
-    """A chain of ``steps`` moves with all users of ``t`` as seeds; state tables s0, s1, ..."""
+    """A chain of ``steps`` moves with all users of ``t`` as seeds; state tables s0, s1, ...
+
+    Vertex numbers: item i is i, user u is -1 - u.
+    """
     one = 10**digits
     restart = one - round(0.8 * one)
     parts = [
-        EDGES.replace("FROM rates", f"FROM {t}") + "," + DEGREE,
-        f"s0 AS (SELECT DISTINCT u AS seed, 'u:' || u AS v, CAST({one} AS BIGINT) AS r FROM {t})",
+        f"""
+link AS (SELECT DISTINCT -1 - u AS src, i AS dst FROM {t} UNION ALL SELECT DISTINCT i, -1 - u FROM {t}),
+degree AS (SELECT src AS v, count(*) AS deg FROM link GROUP BY src)""",
+        f"s0 AS (SELECT DISTINCT u AS seed, -1 - u AS v, CAST({one} AS BIGINT) AS r FROM {t})",
     ]
     for n in range(1, steps + 1):
         parts.append(
@@ -144,14 +149,15 @@ def _walk(t: str, steps: int, digits: int) -> str:
     SELECT seed, dst AS v, share AS r FROM (
       SELECT seed, v, q + CASE WHEN 2 * m > d OR (2 * m = d AND q % 2 = 1) THEN 1 ELSE 0 END AS share FROM (
         SELECT seed, v, (r * 8000) // (10000 * deg) AS q, (r * 8000) % (10000 * deg) AS m, 10000 * deg AS d
-        FROM s{n - 1} JOIN degree USING (v))) JOIN edge ON src = v WHERE share > 0
+        FROM s{n - 1} JOIN degree USING (v))) JOIN link ON src = v WHERE share > 0
     UNION ALL SELECT seed, v, {restart} FROM s0) GROUP BY seed, v)"""
         )
     return ",\n".join(parts)
 
 
 def _ranks(steps: int, digits: int) -> str:
-    return f"SELECT seed, v AS vertex, r / 1e{digits} AS rank FROM s{steps}"
+    vertex = "CASE WHEN v < 0 THEN 'u:' || (-1 - v) ELSE 'i:' || v END"
+    return f"SELECT seed, {vertex} AS vertex, r / 1e{digits} AS rank FROM s{steps}"
 
 
 def _walk_recs(t: str) -> str:
@@ -159,7 +165,7 @@ def _walk_recs(t: str) -> str:
 recs AS (
   SELECT u, i, r, CAST(n AS INTEGER) AS n FROM (
     SELECT *, row_number() OVER (PARTITION BY u ORDER BY r DESC, i) AS n FROM (
-      SELECT seed AS u, CAST(v[3:] AS BIGINT) AS i, r FROM s{WALK_STEPS} WHERE v LIKE 'i:%') w
+      SELECT seed AS u, v AS i, r FROM s{FINE_STEPS} WHERE v >= 0) w
     WHERE NOT EXISTS (SELECT 1 FROM {t} h WHERE h.u = w.u AND h.i = w.i))
   WHERE n <= 100)"""
 
@@ -176,7 +182,7 @@ rounded AS (
 TOP50 = f"WITH {RATES},{_swing('rates', '1e0')},{ROUND5},{_top('top', 'rounded', 'units', 50)}"
 EVAL_COSINE = _evaluated(_cosine("train"), COSINE_TOP, "m.s")
 EVAL_SWING = _evaluated(_swing("train"), SWING_TOP, "(CAST(m.s AS DOUBLE) / 1e10)")
-SIMS_ONLY = 'SELECT i AS item_i, j AS item_j, round(CAST(units AS DOUBLE) / 1e10, 6) AS sim FROM sims'
+SIMS_ONLY = 'SELECT i AS item_i, j AS item_j, CAST(units AS DOUBLE) / 1e10 AS sim FROM sims'
 
 
 def _leave_n(start: int, stop: int) -> str:
@@ -238,7 +244,7 @@ FROM rates a JOIN rates b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i""",
     "swing_min_support": f"""WITH {RATES},{_swing('rates', having='HAVING count(DISTINCT u) + count(DISTINCT v) > 0')},
 support AS (SELECT a.i AS i, b.i AS j FROM rates a JOIN rates b ON a.u = b.u AND a.i < b.i
             GROUP BY a.i, b.i HAVING count(*) >= 3)
-SELECT i AS item_i, j AS item_j, round(CAST(units AS DOUBLE) / 1e10, 6) AS sim FROM sims JOIN support USING (i, j)""",
+SELECT i AS item_i, j AS item_j, CAST(units AS DOUBLE) / 1e10 AS sim FROM sims JOIN support USING (i, j)""",
     "swing_topk": f"WITH {RATES},{_swing('rates')},{SWING_TOP} {FROM_UNITS}",
     "swing_ordered_topk": f"""WITH {RATES},{_swing('rates')},
 twice AS (SELECT i, j, units * 2 AS units FROM sims),{_top('top', 'twice', 'units', 20)} {FROM_UNITS}""",
@@ -288,8 +294,10 @@ vertex AS (SELECT DISTINCT 0 AS kind, u AS id FROM rates UNION ALL SELECT DISTIN
 SELECT CASE kind WHEN 0 THEN 'u:' ELSE 'i:' END || id AS vertex,
        row_number() OVER (ORDER BY kind, id) - 1 AS idx FROM vertex""",
     "ppr_iterate": f"WITH {RATES},{_walk('rates', WALK_STEPS, DIGITS)} {_ranks(WALK_STEPS, DIGITS)}",
-    "ppr_recommend_topn": f"""WITH {RATES},{_walk('rates', WALK_STEPS, DIGITS)},{_walk_recs('rates')}
-SELECT u AS "user", i AS item, r / 1e{DIGITS} AS score, n AS rank FROM recs""",
-    "eval_ppr": f"""WITH {RATES},{TRAIN_TEST},{_walk('train', WALK_STEPS, DIGITS)},{_walk_recs('train')},{COUNTS}
+    "ppr_converged": f"WITH {RATES},{_walk('rates', MAX_STEPS, DIGITS)} {_ranks(MAX_STEPS, DIGITS)}",
+    "ppr_dense_converged": f"WITH {DENSE},{_walk('rates', MAX_STEPS, FINE_DIGITS)} {_ranks(MAX_STEPS, FINE_DIGITS)}",
+    "ppr_recommend_topn": f"""WITH {RATES},{_walk('rates', FINE_STEPS, FINE_DIGITS)},{_walk_recs('rates')}
+SELECT u AS "user", i AS item, r / 1e{FINE_DIGITS} AS score, n AS rank FROM recs""",
+    "eval_ppr": f"""WITH {RATES},{TRAIN_TEST},{_walk('train', FINE_STEPS, FINE_DIGITS)},{_walk_recs('train')},{COUNTS}
 {ALL_METRICS}""",
 }

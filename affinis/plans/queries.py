@@ -17,7 +17,8 @@ from affinis.sources import dimensions, interactions, model_store
 Query = Callable[[SparkSession, str], DataFrame]
 
 WALK_STEPS = 6
-DENSE_DIGITS = 6
+FINE_STEPS = 4
+FINE_DIGITS = 6
 FOLDS = 5
 MAX_TEST = 1000
 
@@ -159,17 +160,17 @@ def _topk(model: Callable[[DataFrame], DataFrame]) -> Query:
 
 def swing_pairs(spark, folder):
     sums = swing.swing_pairs(_baskets(spark, folder))
-    return sums.select("item_i", "item_j", F.round(from_units(F.col("units")), 6).alias("sim"))
+    return sums.select("item_i", "item_j", from_units(F.col("units")).alias("sim"))
 
 
 def swing_min_support(spark, folder):
     sums = swing.swing_pairs(_baskets(spark, folder), min_support=3)
-    return sums.select("item_i", "item_j", F.round(from_units(F.col("units")), 6).alias("sim"))
+    return sums.select("item_i", "item_j", from_units(F.col("units")).alias("sim"))
 
 
 def swing_ordered_topk(spark, folder):
     sums = swing.swing_pairs(_baskets(spark, folder), counting="ordered")
-    return _shown(swing.neighbours(swing.both_directions(sums)))
+    return swing.neighbours(swing.both_directions(sums))
 
 
 def _rounded_top50(spark, folder):
@@ -178,7 +179,7 @@ def _rounded_top50(spark, folder):
 
 
 def swing_alpha1_top50(spark, folder):
-    return _shown(_rounded_top50(spark, folder))
+    return _rounded_top50(spark, folder)
 
 
 def swing_neighbor_list(spark, folder):
@@ -188,12 +189,12 @@ def swing_neighbor_list(spark, folder):
 def swing_firstseen_topk(spark, folder):
     rates = _rates(spark, folder)
     sums = swing.swing_pairs(rates.select("user", "item"))
-    return _shown(swing.neighbours(swing.first_seen_direction(sums, rates)))
+    return swing.neighbours(swing.first_seen_direction(sums, rates))
 
 
 def swing_weighted_topk(spark, folder):
     sums = swing.swing_pairs(_baskets(spark, folder), user_weight="inverse_sqrt")
-    return _shown(swing.neighbours(swing.both_directions(sums)))
+    return swing.neighbours(swing.both_directions(sums))
 
 
 def swing_item_weighted_topk(spark, folder):
@@ -201,12 +202,12 @@ def swing_item_weighted_topk(spark, folder):
     baskets = _baskets(spark, folder)
     weight = baskets.groupBy("item").agg((F.lit(1.0) / F.sqrt(F.count(F.lit(1)))).alias("weight"))
     sums = swing.swing_pairs(baskets, item_weight=weight)
-    return _shown(swing.neighbours(swing.both_directions(sums)))
+    return swing.neighbours(swing.both_directions(sums))
 
 
 def swing_dense_topk(spark, folder):
     sums = swing.swing_pairs(_dense(spark, folder))
-    return _shown(swing.neighbours(swing.both_directions(sums)))
+    return swing.neighbours(swing.both_directions(sums))
 
 
 # --- model store -------------------------------------------------------------------------------
@@ -235,7 +236,7 @@ def sim_model_single_key_roundtrip(spark, folder):
     model = _swing_model(_rates(spark, folder))
     path = new_path(spark, "model-lines")
     model_store.save_single_key_json(model, path)
-    return _shown(model_store.load_single_key_json(spark, path))
+    return model_store.load_single_key_json(spark, path)
 
 
 # --- recommendations and their quality ---------------------------------------------------------
@@ -244,7 +245,7 @@ def sim_model_single_key_roundtrip(spark, folder):
 def _recommend(model: Callable[[DataFrame], DataFrame], exclude_seen: bool = False) -> Query:
     def query(spark, folder):
         rates = _rates(spark, folder)
-        return _shown(recommend(rates, materialize(model(rates), "model"), RECOMMENDATIONS, exclude_seen), "score")
+        return recommend(rates, materialize(model(rates), "model"), RECOMMENDATIONS, exclude_seen)
 
     return query
 
@@ -257,18 +258,14 @@ def _held_out(spark, folder, model):
 
 def _evaluate(model: Callable[[DataFrame], DataFrame]) -> Query:
     def query(spark, folder):
-        metrics = ev.evaluate(*_held_out(spark, folder, model), RECOMMENDATIONS)
-        for name in ("precision", "recall", "coverage"):
-            metrics = _shown(metrics, name)
-        return metrics
+        return ev.evaluate(*_held_out(spark, folder, model), RECOMMENDATIONS)
 
     return query
 
 
-def _metric(read: Callable[[DataFrame], DataFrame], name: str) -> Query:
+def _metric(read: Callable[[DataFrame], DataFrame]) -> Query:
     def query(spark, folder):
-        counts = ev.evaluation_counts(*_held_out(spark, folder, _cosine_model))
-        return _shown(read(counts), name)
+        return read(ev.evaluation_counts(*_held_out(spark, folder, _cosine_model)))
 
     return query
 
@@ -297,7 +294,7 @@ def _walk_all(baskets: DataFrame, **settings) -> DataFrame:
 
 
 def ppr_iterate(spark, folder):
-    return walk.ranks(_walk_all(_baskets(spark, folder), steps=WALK_STEPS, until_fixed=False))
+    return walk.ranks(_walk_all(_baskets(spark, folder), steps=WALK_STEPS, stop_early=False))
 
 
 def ppr_converged(spark, folder):
@@ -305,30 +302,28 @@ def ppr_converged(spark, folder):
 
 
 def ppr_dense_converged(spark, folder):
-    state = _walk_all(_dense(spark, folder), digits=DENSE_DIGITS)
-    return walk.ranks(state, DENSE_DIGITS)
+    state = _walk_all(_dense(spark, folder), digits=FINE_DIGITS)
+    return walk.ranks(state, FINE_DIGITS)
 
 
 def ppr_residual(spark, folder):
     baskets = _dense(spark, folder)
     seeds, links = materialize(walk.all_seeds(baskets), "seeds"), walk.adjacency(baskets)
-    state = materialize(walk.walk(seeds, links, digits=DENSE_DIGITS), "walk")
-    return _shown(walk.residual(state, links, seeds, digits=DENSE_DIGITS), "residual", 8)
+    state = materialize(walk.walk(seeds, links, digits=FINE_DIGITS), "walk")
+    return _shown(walk.residual(state, links, seeds, digits=FINE_DIGITS), "residual", 8)
 
 
 def ppr_recommend_topn(spark, folder):
     baskets = _baskets(spark, folder)
-    return walk.recommend_from_walk(_walk_all(baskets, steps=WALK_STEPS, until_fixed=False), baskets, RECOMMENDATIONS)
+    state = _walk_all(baskets, steps=FINE_STEPS, digits=FINE_DIGITS, stop_early=False)
+    return walk.recommend_from_walk(state, baskets, RECOMMENDATIONS, FINE_DIGITS)
 
 
 def eval_ppr(spark, folder):
     train, test = splits.train_test(_rates(spark, folder), 1, 10)
-    state = _walk_all(train, steps=WALK_STEPS, until_fixed=False)
-    recs = materialize(walk.recommend_from_walk(state, train, RECOMMENDATIONS), "recs")
-    metrics = ev.evaluate(recs, train, test, RECOMMENDATIONS)
-    for name in ("precision", "recall", "coverage"):
-        metrics = _shown(metrics, name)
-    return metrics
+    state = _walk_all(train, steps=FINE_STEPS, digits=FINE_DIGITS, stop_early=False)
+    recs = materialize(walk.recommend_from_walk(state, train, RECOMMENDATIONS, FINE_DIGITS), "recs")
+    return ev.evaluate(recs, train, test, RECOMMENDATIONS)
 
 
 QUERIES: dict[str, Query] = {
@@ -358,7 +353,7 @@ QUERIES: dict[str, Query] = {
     "itemcf_pearson_topk": _topk(_pearson_model),
     "swing_pairs": swing_pairs,
     "swing_min_support": swing_min_support,
-    "swing_topk": _topk(_swing_model),
+    "swing_topk": lambda spark, folder: _swing_model(_rates(spark, folder)),
     "swing_ordered_topk": swing_ordered_topk,
     "swing_alpha1_top50": swing_alpha1_top50,
     "swing_neighbor_list": swing_neighbor_list,
@@ -373,9 +368,9 @@ QUERIES: dict[str, Query] = {
     "recommend_itemcf_pearson": _recommend(_pearson_model),
     "recommend_swing": _recommend(_swing_model),
     "recommend_swing_unseen": _recommend(_swing_model, exclude_seen=True),
-    "eval_precision": _metric(lambda counts: ev.precision(counts, RECOMMENDATIONS), "precision"),
-    "eval_recall": _metric(ev.recall, "recall"),
-    "eval_coverage": _metric(ev.coverage, "coverage"),
+    "eval_precision": _metric(lambda counts: ev.precision(counts, RECOMMENDATIONS)),
+    "eval_recall": _metric(ev.recall),
+    "eval_coverage": _metric(ev.coverage),
     "eval_itemcf_cosine": _evaluate(_cosine_model),
     "eval_itemcf_pearson": _evaluate(_pearson_model),
     "eval_swing": _evaluate(_swing_model),
