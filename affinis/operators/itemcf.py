@@ -112,10 +112,15 @@ def pearson(rates: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     return sums.select("item_i", "item_j", (joint / F.sqrt(F.col("vi") * F.col("vj"))).alias("sim"))
 
 
-def symmetric(sims: DataFrame) -> DataFrame:
-    """Both directions of a table of unordered pairs."""
-    return sims.select("item_i", "item_j", "sim").unionAll(
-        sims.select(F.col("item_j").alias("item_i"), F.col("item_i").alias("item_j"), "sim")
+def symmetric(sims: DataFrame, score: str = "sim") -> DataFrame:
+    """Both directions of a table of unordered pairs, in one pass over it.
+
+    A union of the table with its mirror image would aggregate all pairs twice.
+    """
+    i, j = F.col("item_i"), F.col("item_j")
+    ends = F.array(F.struct(i.alias("a"), j.alias("b")), F.struct(j.alias("a"), i.alias("b")))
+    return sims.select(score, F.explode(ends).alias("_e")).select(
+        F.col("_e.a").alias("item_i"), F.col("_e.b").alias("item_j"), score
     )
 
 

@@ -71,7 +71,10 @@ def spread(rows: DataFrame, keys: list[str], member: str, block_size: int) -> Da
 
 
 def pack(rows: DataFrame, keys: list[str], fields: Sequence[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_members"))
+    # A fixed partition count: the rows are few bytes but unfold into many pairs, so
+    # partitions must not be merged for being small.
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(width, *keys).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_members"))
 
 
 def unfold(packed: DataFrame, keys: list[str], member: str, payload: Sequence[str]) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinis.functions.fixedpoint import exact_sum, from_units, to_units
+from affinis.operators.itemcf import symmetric
 from affinis.operators.pairs import BLOCK_SIZE, largest_group, member_pairs, unfold
 from affinis.operators.prepare import LIST_SPAN
 from affinis.operators.topk import best_first, top_k
@@ -86,12 +87,19 @@ def _hot_masks(baskets: DataFrame, hot: Sequence[int]) -> DataFrame:
 
 
 def linked_item_pairs(
-    baskets: DataFrame, skew: Skew, payload: Sequence[str] = (), block_size: int = BLOCK_SIZE
+    baskets: DataFrame,
+    skew: Skew,
+    payload: Sequence[str] = (),
+    carry_out: dict[str, Column] | None = None,
+    block_size: int = BLOCK_SIZE,
 ) -> DataFrame:
-    """(user_a < user_b, item_i < item_j, k, _hot) for user pairs that share at least one item that is not hot.
+    """One row per item pair of every user pair that shares at least one item that is not hot.
 
-    ``k`` counts all shared items, ``_hot`` the hot ones among them.
+    Columns are ``item_i < item_j`` and those of ``carry_out``, which are computed
+    once per user pair from user_a < user_b, both sides' payload, ``k`` (all
+    shared items) and ``_hot`` (the hot ones among them).
     """
+    outputs = carry_out or {c: F.col(c) for c in (*_USERS, "k")}
     hot, members, carry = skew.hot_items, baskets, list(payload)
     if hot:
         members = members.where(~F.col("item").isin(*hot)).join(_hot_masks(baskets, hot), "user", "left")
@@ -112,7 +120,8 @@ def linked_item_pairs(
     common = F.col("_mask_a").bitwiseAND(F.col("_mask_b")) if hot else F.lit(0)
     carried = [F.max(c).alias(c) for c in sides] + [F.max(common).alias("_common")]
     hot_shared = F.bit_count("_common").cast("int")
-    keys = [*_USERS, *sides, "k", "_hot"]
+    keys = list(outputs)
+    finished = [expr.alias(name) for name, expr in outputs.items()]
 
     gathered = (
         (links.where(~both_long) if has_long else links)
@@ -123,7 +132,7 @@ def linked_item_pairs(
         .where(F.col("k") > 1)
     )
     all_items = F.concat("_members", _hot_in(F.col("_common"), hot)) if hot else F.col("_members")
-    pairs = unfold(gathered.withColumn("_members", F.array_sort(all_items)), keys, "item", ())
+    pairs = unfold(gathered.select(*finished, F.array_sort(all_items).alias("_members")), keys, "item", ())
     if has_long:
         long_links = links.where(both_long)
         counted = (
@@ -133,12 +142,14 @@ def linked_item_pairs(
             .withColumn("k", (F.col("_n") + F.col("_hot")).cast("int"))
             .where(F.col("k") > 1)
         )
-        shared = long_links.select(*_USERS, "item").join(counted.select(*keys), _USERS)
+        inner = [*_USERS, *sides, "k", "_hot"]
+        shared = long_links.select(*_USERS, "item").join(counted.select(*inner), _USERS)
         if hot:
             shared = shared.unionByName(
-                counted.select(*keys, F.explode(_hot_in(F.col("_common"), hot)).alias("_h")).select(*keys, "_h.item")
+                counted.select(*inner, F.explode(_hot_in(F.col("_common"), hot)).alias("_h")).select(*inner, "_h.item")
             )
-        pairs = pairs.unionByName(member_pairs(shared, keys, "item", (), block_size))
+        wide = member_pairs(shared, inner, "item", (), block_size)
+        pairs = pairs.unionByName(wide.select(*finished, "item_a", "item_b"))
     return pairs.withColumnsRenamed({"item_a": "item_i", "item_b": "item_j"})
 
 
@@ -147,7 +158,7 @@ def quadruples(baskets: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     skew = measure_skew(baskets)
     # Every quadruple is a row of the result, so only one item can be left out of the search.
     first = replace(skew, hot_items=skew.hot_items[:1], widest_item=None) if len(skew.hot_items) > 1 else skew
-    pairs = linked_item_pairs(baskets, first, (), block_size)
+    pairs = linked_item_pairs(baskets, first, (), None, block_size)
     return pairs.select(
         "item_i",
         "item_j",
@@ -181,7 +192,7 @@ def _only_hot(baskets: DataFrame, hot: Sequence[int], alpha: float) -> DataFrame
         partners.join(others, "_mask_b")
         .select(common.alias("_common"), user_pairs.cast("decimal(38,0)").alias("_n"))
         .withColumn("_p", F.explode(F.array_compact(F.array(*item_pairs))))
-        .select("_p.item_i", "_p.item_j", "_n", to_units(1 / (F.lit(alpha) + F.bit_count("_common"))).alias("_units"))
+        .select("_p.item_i", "_p.item_j", "_n", to_units(F.lit(1.0) / (F.lit(alpha) + F.bit_count("_common"))).alias("_units"))
     )
 
 
@@ -214,9 +225,11 @@ def swing_pairs(
         # frequencies; with one popular item there are none of that kind.
         if len(skew.hot_items) > 1:
             skew = replace(skew, hot_items=skew.hot_items[:1], widest_item=None)
-    links = linked_item_pairs(baskets, skew, payload, block_size)
     strength = F.col("_w_a") * F.col("_w_b") if payload else F.lit(1.0)
-    terms = links.select("item_i", "item_j", to_units(strength / (F.lit(alpha) + F.col("k"))).alias("_units"), "_hot")
+    term = {"_units": to_units(strength / (F.lit(alpha) + F.col("k")))}
+    if len(skew.hot_items) > 1:
+        term["_hot_units"] = to_units(F.lit(1.0) / (F.lit(alpha) + F.col("_hot")))
+    terms = linked_item_pairs(baskets, skew, payload, term, block_size)
 
     # c shared users make c (c - 1) / 2 user pairs, so support needs no table of its own.
     enough = min_support * (min_support - 1) // 2
@@ -237,7 +250,7 @@ def _with_only_hot(terms: DataFrame, baskets: DataFrame, hot: Sequence[int], alp
     counted = terms.select("item_i", "item_j", F.col("_units").cast(wide).alias("_units"), one.alias("_n"))
     # User pairs found through other items are in the mask frequencies too: take those out again.
     doubled = terms.where(F.col("item_i").isin(*hot) & F.col("item_j").isin(*hot)).select(
-        "item_i", "item_j", -to_units(1 / (F.lit(alpha) + F.col("_hot"))).cast(wide), -one
+        "item_i", "item_j", -F.col("_hot_units").cast(wide), -one
     )
     only = _only_hot(baskets, hot, alpha).select(
         "item_i", "item_j", (F.col("_units").cast("decimal(18,0)") * F.col("_n")).cast(wide), F.col("_n").cast(wide)
@@ -261,7 +274,7 @@ def _scale(sums: DataFrame, item_weight: DataFrame) -> DataFrame:
 
 
 def both_directions(sums: DataFrame) -> DataFrame:
-    return sums.unionAll(sums.select(F.col("item_j").alias("item_i"), F.col("item_i").alias("item_j"), "units"))
+    return symmetric(sums, "units")
 
 
 def first_seen_direction(sums: DataFrame, interactions: DataFrame) -> DataFrame:
