@@ -62,9 +62,12 @@ def overlap(rates: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     return item_pairs(rates, ("rate",), block_size).groupBy("item_i", "item_j").agg(F.sum(smaller).alias("overlap"))
 
 
-def _scored_by_weight(rates: DataFrame, contribution: Column, block_size: int) -> DataFrame:
+def scored_by_weight(
+    rates: DataFrame, contribution: Column, block_size: int = BLOCK_SIZE, largest: int | None = None
+) -> DataFrame:
+    """Summed contributions of shared users over the geometric mean of both weights."""
     weights = item_weight(rates).where(F.col("weight") > 0)
-    largest = largest_group(rates, ["user"])
+    largest = largest_group(rates, ["user"]) if largest is None else largest
     weighted = rates.select("user", "item", "rate").join(weights, "item")
     pairs = item_pairs(weighted, ("rate", "weight"), block_size, largest)
     joint = pairs.groupBy("item_i", "item_j").agg(
@@ -79,12 +82,12 @@ def cosine(rates: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
 
     Items of weight zero have no defined similarity and form no pair.
     """
-    return _scored_by_weight(rates, F.least("rate_a", "rate_b"), block_size)
+    return scored_by_weight(rates, F.least("rate_a", "rate_b"), block_size)
 
 
 def raw_product(rates: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     """Uncentred product form: sum of rate products over the same norm as ``cosine``."""
-    return _scored_by_weight(rates, F.col("rate_a") * F.col("rate_b"), block_size)
+    return scored_by_weight(rates, F.col("rate_a") * F.col("rate_b"), block_size)
 
 
 def pearson(rates: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:

@@ -1,0 +1,151 @@
+"""Top-k neighbours when a few users hold a large share of all rows.
+
+A user with ``n`` items puts ``n^2 / 2`` pairs into the pair table. For a top-k
+model most of them are not needed. The few longest histories are set aside, and
+two kinds of pairs remain:
+
+* Pairs that some other user has too are enumerated from the other users, and
+  each item carries its rates by the users set aside, which completes the score.
+* Pairs that only the users set aside have. All items rated alike by these users
+  form a class, and inside a class the score falls with the weight of the
+  neighbour, so the ``k + 1`` lightest items stand for the class. A class is
+  compared with these representatives only, and its items share one list.
+
+A pair's score from the users set aside is never above its full score, so a
+representative that also occurs in the first kind can displace nothing that
+belongs into the result. The result equals the full enumeration.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from affinis.operators import itemcf
+from affinis.operators.pairs import BLOCK_SIZE
+from affinis.operators.topk import best_first, top_k
+from affinis.session import materialize, stack
+
+HOT_USERS = 3
+HOT_USER_ITEMS = 20_000
+MAX_CLASSES = 256
+
+Contribution = Callable[[Column, Column], Column]
+SMALLER: Contribution = lambda a, b: F.least(a, b)
+PRODUCT: Contribution = lambda a, b: a * b
+
+
+def cosine_neighbours(rates: DataFrame, k: int = 20, **limits) -> DataFrame:
+    """As ``neighbours(cosine(rates), k)``."""
+    return _neighbours(rates, SMALLER, k, **limits)
+
+
+def raw_product_neighbours(rates: DataFrame, k: int = 20, **limits) -> DataFrame:
+    """As ``neighbours(raw_product(rates), k)``."""
+    return _neighbours(rates, PRODUCT, k, **limits)
+
+
+def _neighbours(
+    rates: DataFrame,
+    contribution: Contribution,
+    k: int,
+    block_size: int = BLOCK_SIZE,
+    hot_user_items: int = HOT_USER_ITEMS,
+) -> DataFrame:
+    sizes = rates.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+    longest = sizes.orderBy(F.desc("n"), "user").limit(HOT_USERS + 1).collect()
+    hot = [row["user"] for row in longest[:HOT_USERS] if row["n"] > hot_user_items]
+    weights = itemcf.item_weight(rates).where(F.col("weight") > 0)
+    items = None
+    while hot:
+        items = materialize(_item_attributes(rates, weights, hot), "items")
+        if items.select("class").where("class IS NOT NULL").distinct().count() <= MAX_CLASSES:
+            break
+        hot = hot[:-1]
+    rest = max((row["n"] for row in longest if row["user"] not in hot), default=0)
+    if not hot:
+        plain = itemcf.scored_by_weight(rates, contribution(F.col("rate_a"), F.col("rate_b")), block_size, rest)
+        return itemcf.neighbours(plain, k)
+    columns = _rate_columns(hot)
+    shared = _enumerated(rates.where(~F.col("user").isin(*hot)), items, columns, contribution, block_size, rest)
+    found = top_k(itemcf.symmetric(shared), "item_i", best_first("sim", "item_j"), k).drop("rank")
+    only = _by_class(items.where("class IS NOT NULL"), columns, contribution, k)
+    best = stack(found, only).groupBy("item_i", "item_j").agg(F.max("sim").alias("sim"))
+    return top_k(best, "item_i", best_first("sim", "item_j"), k)
+
+
+def _rate_columns(hot: Sequence[int]) -> list[str]:
+    return [f"_r{n}" for n in range(len(hot))]
+
+
+def _item_attributes(rates: DataFrame, weights: DataFrame, hot: Sequence[int]) -> DataFrame:
+    """(item, weight, one rate per user set aside, class); class is NULL where none has the item."""
+    columns = _rate_columns(hot)
+    by_hot = (
+        rates.where(F.col("user").isin(*hot))
+        .groupBy("item")
+        .agg(*[F.max(F.when(F.col("user") == user, F.col("rate"))).alias(c) for user, c in zip(hot, columns)])
+        .withColumn("class", F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]))
+    )
+    return weights.join(by_hot, "item", "left")
+
+
+def _joint(columns: Sequence[str], contribution: Contribution, a: str = "_a", b: str = "_b") -> Column:
+    """What the users set aside add to a pair; a user without both items adds nothing."""
+    parts = [F.coalesce(F.when(F.col(c + a).isNotNull() & F.col(c + b).isNotNull(), contribution(F.col(c + a), F.col(c + b))), F.lit(0.0)) for c in columns]
+    return reduce(lambda x, y: x + y, parts)
+
+
+def _enumerated(
+    rates: DataFrame, items: DataFrame, columns: Sequence[str], contribution: Contribution, block_size: int, largest: int
+) -> DataFrame:
+    described = rates.select("user", "item", "rate").join(items.drop("class"), "item")
+    payload = ("rate", "weight", *columns)
+    pairs = itemcf.item_pairs(described, payload, block_size, largest)
+    sides = [f"{c}_{side}" for c in ("weight", *columns) for side in "ab"]
+    sums = pairs.groupBy("item_i", "item_j").agg(
+        F.sum(contribution(F.col("rate_a"), F.col("rate_b"))).alias("_joint"), *[F.max(c).alias(c) for c in sides]
+    )
+    joint = F.col("_joint") + _joint(columns, contribution)
+    return sums.select("item_i", "item_j", (joint / F.sqrt(F.col("weight_a") * F.col("weight_b"))).alias("sim"))
+
+
+def _by_class(items: DataFrame, columns: Sequence[str], contribution: Contribution, k: int) -> DataFrame:
+    """(item_i, item_j, sim): for every item the best partners by the users set aside alone.
+
+    Classes and representatives are bounded by ``MAX_CLASSES`` and ``k``.
+    """
+    # Where the score is zero weights do not matter and the lowest ids come first.
+    lightest = top_k(items, "class", [F.col("weight").asc(), F.col("item").asc()], k + 1)
+    lowest = top_k(items, "class", [F.col("item").asc()], k + 1)
+    stand_in = stack(lightest, lowest).drop("rank").distinct()
+    classes = stand_in.select("class", *columns).distinct()
+
+    # A class meets the representatives that share a user with it, once per pair.
+    users = lambda side: F.array_compact(
+        F.array(*[F.when(F.col(c + side).isNotNull(), F.lit(n)) for n, c in enumerate(columns)])
+    )
+    left = classes.select("class", *[F.col(c).alias(c + "_a") for c in columns])
+    left = left.withColumn("_ua", users("_a")).withColumn("_user", F.explode("_ua"))
+    right = stand_in.select(
+        F.col("item").alias("item_j"), F.col("weight").alias("_wj"), *[F.col(c).alias(c + "_b") for c in columns]
+    )
+    right = right.withColumn("_ub", users("_b")).withColumn("_user", F.explode("_ub"))
+    first_shared = F.array_min(F.array_intersect("_ua", "_ub"))
+    met = left.join(right, "_user").where(F.col("_user") == first_shared)
+    met = met.select("class", "item_j", "_wj", _joint(columns, contribution).alias("_joint"))
+
+    # Keep near ties beyond the k + 1 best, so that rounding in the final score decides as in a full enumeration.
+    strength = F.col("_joint") * F.col("_joint") / F.col("_wj")
+    order = Window.partitionBy("class").orderBy(F.col("_q").desc(), F.col("item_j").asc())
+    whole = Window.partitionBy("class")
+    placed = met.withColumn("_q", strength).withColumn("_n", F.row_number().over(order))
+    placed = placed.withColumn("_cut", F.max(F.when(F.col("_n") == k + 1, F.col("_q"))).over(whole))
+    near = F.col("_cut").isNull() | (F.col("_n") <= k + 1) | ((F.col("_q") > 0) & (F.col("_q") >= F.col("_cut") * (1 - 1e-9)))
+    partners = placed.where(near).select("class", "item_j", "_wj", "_joint")
+    pairs = items.select("item", "weight", "class").join(partners, "class").where(F.col("item") != F.col("item_j"))
+    sim = F.col("_joint") / F.sqrt(F.col("weight") * F.col("_wj"))
+    return pairs.select(F.col("item").alias("item_i"), "item_j", sim.alias("sim"))

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affinis.session import stack
+
 LIST_SPAN = 4096
 
 
@@ -48,9 +50,9 @@ def dataset_profile(interactions: DataFrame) -> DataFrame:
     users = interactions.select("user").distinct().agg(F.count(F.lit(1)).alias("n_users"))
     items = interactions.select("item").distinct().agg(F.count(F.lit(1)).alias("n_items"))
     rows = interactions.agg(F.count(F.lit(1)).alias("n_rows"))
-    parts = (
-        rows.select("n_rows", zero.alias("n_users"), zero.alias("n_items"))
-        .unionAll(users.select(zero, "n_users", zero))
-        .unionAll(items.select(zero, zero, "n_items"))
+    parts = stack(
+        rows.select("n_rows", zero.alias("n_users"), zero.alias("n_items")),
+        users.select(zero, "n_users", zero),
+        items.select(zero, zero, "n_items"),
     )
     return parts.agg(*[F.sum(c).alias(c) for c in ("n_rows", "n_users", "n_items")])

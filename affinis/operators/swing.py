@@ -25,6 +25,7 @@ from affinis.operators.itemcf import symmetric
 from affinis.operators.pairs import BLOCK_SIZE, largest_group, member_pairs, unfold
 from affinis.operators.prepare import LIST_SPAN
 from affinis.operators.topk import best_first, top_k
+from affinis.session import stack
 
 HOT_ITEMS = 6
 HOT_ITEM_USERS = 20_000
@@ -145,11 +146,10 @@ def linked_item_pairs(
         inner = [*_USERS, *sides, "k", "_hot"]
         shared = long_links.select(*_USERS, "item").join(counted.select(*inner), _USERS)
         if hot:
-            shared = shared.unionByName(
-                counted.select(*inner, F.explode(_hot_in(F.col("_common"), hot)).alias("_h")).select(*inner, "_h.item")
-            )
+            popular = counted.select(*inner, F.explode(_hot_in(F.col("_common"), hot)).alias("_h"))
+            shared = stack(shared.select(*inner, "item"), popular.select(*inner, "_h.item"))
         wide = member_pairs(shared, inner, "item", (), block_size)
-        pairs = pairs.unionByName(wide.select(*finished, "item_a", "item_b"))
+        pairs = stack(pairs, wide.select(*finished, "item_a", "item_b"))
     return pairs.withColumnsRenamed({"item_a": "item_i", "item_b": "item_j"})
 
 
@@ -255,7 +255,7 @@ def _with_only_hot(terms: DataFrame, baskets: DataFrame, hot: Sequence[int], alp
     only = _only_hot(baskets, hot, alpha).select(
         "item_i", "item_j", (F.col("_units").cast("decimal(18,0)") * F.col("_n")).cast(wide), F.col("_n").cast(wide)
     )
-    every = counted.unionAll(doubled).unionAll(only)
+    every = stack(counted, doubled, only)
     return every.groupBy("item_i", "item_j").agg(
         F.sum("_units").cast(wide).alias("units"), F.sum("_n").cast(wide).alias("_n")
     ).where(F.col("_n") > 0)

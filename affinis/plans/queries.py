@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from affinis.functions.fixedpoint import from_units
 from affinis.operators import evaluate as ev
-from affinis.operators import itemcf, prepare, splits, swing, topk, walk
+from affinis.operators import itemcf, long_histories, prepare, splits, swing, topk, walk
 from affinis.operators.recommend import RECOMMENDATIONS, recommend
 from affinis.session import materialize, new_path
 from affinis.sources import dimensions, interactions, model_store
@@ -139,11 +139,11 @@ def itemcf_overlap(spark, folder):
 
 
 def _cosine_model(rates: DataFrame) -> DataFrame:
-    return itemcf.neighbours(itemcf.cosine(rates))
+    return long_histories.cosine_neighbours(rates)
 
 
 def _product_model(rates: DataFrame) -> DataFrame:
-    return itemcf.neighbours(itemcf.raw_product(rates))
+    return long_histories.raw_product_neighbours(rates)
 
 
 def _pearson_model(rates: DataFrame) -> DataFrame:

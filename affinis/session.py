@@ -41,3 +41,19 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stack(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """UNION ALL by column position.
+
+    Spark 4.1 lets a union keep the partitioning its inputs have in common and
+    plans a following aggregate without a shuffle. Adaptive execution may then
+    merge the partitions of each input differently, and rows with equal keys
+    never meet (seen on 4.1.2 with ``distinct`` over two ranked tables). The
+    session is told not to do that.
+    """
+    first.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+    out = first
+    for df in others:
+        out = out.unionAll(df)
+    return out

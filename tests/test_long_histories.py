@@ -1,0 +1,53 @@
+import random
+
+import pytest
+
+from affinis.operators import itemcf, long_histories
+from tests.conftest import rates_frame, skewed_rates
+
+
+def table(model):
+    return sorted((r.item_i, r["rank"], r.item_j, r.sim) for r in model.collect())
+
+
+def one_hot(seed, hot=1):
+    """``hot`` users with nearly all items, everyone else with two or three; zero rates and ties included."""
+    rng = random.Random(seed)
+    rates = {}
+    for user in range(hot):
+        rates |= {(user, i): float(rng.choice([0, 1, 1, 2, 5])) for i in range(60) if rng.random() < 0.9}
+    for user in range(hot, 30):
+        rates |= {(user, rng.randrange(70)): float(rng.randint(0, 5)) for _ in range(rng.randint(2, 3))}
+    return rates
+
+
+@pytest.mark.parametrize("kind", ["cosine", "raw_product"])
+@pytest.mark.parametrize("seed,hot", [(1, 1), (2, 1), (3, 2), (4, 3), (5, 4)])
+def test_equals_full_enumeration(spark, kind, seed, hot):
+    rates = rates_frame(spark, one_hot(seed, hot))
+    want = table(itemcf.neighbours(getattr(itemcf, kind)(rates), 4))
+    quick = getattr(long_histories, f"{kind}_neighbours")
+    assert table(quick(rates, 4, hot_user_items=20)) == want
+    assert table(quick(rates, 4, hot_user_items=20, block_size=3)) == want
+
+
+def test_many_classes_fall_back_to_blocks(spark, monkeypatch):
+    monkeypatch.setattr(long_histories, "MAX_CLASSES", 2)
+    rates = rates_frame(spark, one_hot(6, 2))
+    got = long_histories.cosine_neighbours(rates, 4, hot_user_items=20, block_size=5)
+    assert table(got) == table(itemcf.neighbours(itemcf.cosine(rates), 4))
+
+
+def test_without_long_histories(spark):
+    rates = rates_frame(spark, skewed_rates())
+    assert table(long_histories.cosine_neighbours(rates, 5)) == table(itemcf.neighbours(itemcf.cosine(rates), 5))
+    assert long_histories.cosine_neighbours(rates.limit(0)).collect() == []
+
+
+def test_pairs_of_the_hot_user_are_not_enumerated(spark):
+    """30,000 items of one user make 450 million pairs; the model of all of them is still quick."""
+    hot = spark.range(30_000).selectExpr("0L AS user", "id AS item", "double(id % 5 + 1) AS rate")
+    cold = spark.range(60_000).selectExpr("id % 20000 + 1 AS user", "id * 7 % 30000 AS item", "double(id % 3 + 1) AS rate")
+    rates = hot.union(cold).dropDuplicates(["user", "item"])
+    model = long_histories.cosine_neighbours(rates, 5)
+    assert model.count() == 5 * 30_000

@@ -1,3 +1,4 @@
+from decimal import Decimal
 from itertools import combinations
 
 import pytest
@@ -80,7 +81,7 @@ def test_same_scores_at_any_partitioning(spark, partitions):
 
 def test_rounding_direction_and_lists(spark):
     sums = spark.createDataFrame(
-        [(1, 2, 150_000), (1, 3, 250_000), (2, 3, 990_000)], "item_i BIGINT, item_j BIGINT, units DECIMAL(38,0)"
+        [(1, 2, Decimal(150_000)), (1, 3, Decimal(250_000)), (2, 3, Decimal(990_000))], "item_i BIGINT, item_j BIGINT, units DECIMAL(38,0)"
     )
     half_even = {(r.item_i, r.item_j): int(r.units) for r in swing.rounded(sums, 5).collect()}
     assert half_even == {(1, 2): 200_000, (1, 3): 200_000, (2, 3): 1_000_000}
