@@ -95,7 +95,10 @@ def _item_attributes(rates: DataFrame, weights: DataFrame, hot: Sequence[int]) -
 
 def _joint(columns: Sequence[str], contribution: Contribution, a: str = "_a", b: str = "_b") -> Column:
     """What the users set aside add to a pair; a user without both items adds nothing."""
-    parts = [F.coalesce(F.when(F.col(c + a).isNotNull() & F.col(c + b).isNotNull(), contribution(F.col(c + a), F.col(c + b))), F.lit(0.0)) for c in columns]
+    parts = []
+    for c in columns:
+        both = F.col(c + a).isNotNull() & F.col(c + b).isNotNull()
+        parts.append(F.when(both, contribution(F.col(c + a), F.col(c + b))).otherwise(F.lit(0.0)))
     return reduce(lambda x, y: x + y, parts)
 
 
@@ -146,6 +149,8 @@ def _by_class(items: DataFrame, columns: Sequence[str], contribution: Contributi
     placed = placed.withColumn("_cut", F.max(F.when(F.col("_n") == k + 1, F.col("_q"))).over(whole))
     near = F.col("_cut").isNull() | (F.col("_n") <= k + 1) | ((F.col("_q") > 0) & (F.col("_q") >= F.col("_cut") * (1 - 1e-9)))
     partners = placed.where(near).select("class", "item_j", "_wj", "_joint")
-    pairs = items.select("item", "weight", "class").join(partners, "class").where(F.col("item") != F.col("item_j"))
+    # At most MAX_CLASSES lists of representatives, whatever the number of items.
+    pairs = items.select("item", "weight", "class").join(F.broadcast(partners), "class")
+    pairs = pairs.where(F.col("item") != F.col("item_j"))
     sim = F.col("_joint") / F.sqrt(F.col("weight") * F.col("_wj"))
     return pairs.select(F.col("item").alias("item_i"), "item_j", sim.alias("sim"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from affinis.functions.fixedpoint import exact_sum, from_units, to_units
 from affinis.operators.itemcf import symmetric
-from affinis.operators.pairs import BLOCK_SIZE, largest_group, member_pairs, unfold
+from affinis.operators.pairs import BLOCK_SIZE, largest_group, member_pairs, pack, unfold
 from affinis.operators.prepare import LIST_SPAN
 from affinis.operators.topk import best_first, top_k
 from affinis.session import stack
@@ -125,15 +125,14 @@ def linked_item_pairs(
     finished = [expr.alias(name) for name, expr in outputs.items()]
 
     gathered = (
-        (links.where(~both_long) if has_long else links)
-        .groupBy(*_USERS)
-        .agg(F.collect_list(F.struct("item")).alias("_members"), *carried)
+        pack(links.where(~both_long) if has_long else links, _USERS, ["item"], carried)
         .withColumn("_hot", hot_shared)
         .withColumn("k", F.size("_members") + F.col("_hot"))
         .where(F.col("k") > 1)
     )
-    all_items = F.concat("_members", _hot_in(F.col("_common"), hot)) if hot else F.col("_members")
-    pairs = unfold(gathered.select(*finished, F.array_sort(all_items).alias("_members")), keys, "item", ())
+    if hot:
+        gathered = gathered.withColumn("_members", F.array_sort(F.concat("_members", _hot_in(F.col("_common"), hot))))
+    pairs = unfold(gathered.select(*finished, "_members"), keys, "item", ())
     if has_long:
         long_links = links.where(both_long)
         counted = (

@@ -296,6 +296,12 @@ SELECT CASE kind WHEN 0 THEN 'u:' ELSE 'i:' END || id AS vertex,
     "ppr_iterate": f"WITH {RATES},{_walk('rates', WALK_STEPS, DIGITS)} {_ranks(WALK_STEPS, DIGITS)}",
     "ppr_converged": f"WITH {RATES},{_walk('rates', MAX_STEPS, DIGITS)} {_ranks(MAX_STEPS, DIGITS)}",
     "ppr_dense_converged": f"WITH {DENSE},{_walk('rates', MAX_STEPS, FINE_DIGITS)} {_ranks(MAX_STEPS, FINE_DIGITS)}",
+    "ppr_residual": f"""WITH {DENSE},{_walk('rates', MAX_STEPS, FINE_DIGITS)},
+entry AS (
+  SELECT seed, v, r / 1e{FINE_DIGITS} AS x FROM s{MAX_STEPS}
+  UNION ALL SELECT seed, dst, -8e-1 * r / 1e{FINE_DIGITS} / deg FROM s{MAX_STEPS} JOIN degree USING (v) JOIN link ON src = v
+  UNION ALL SELECT seed, v, -2e-1 FROM s0)
+SELECT seed, round(max(abs(x)), 8) AS residual FROM (SELECT seed, v, sum(x) AS x FROM entry GROUP BY seed, v) GROUP BY seed""",
     "ppr_recommend_topn": f"""WITH {RATES},{_walk('rates', FINE_STEPS, FINE_DIGITS)},{_walk_recs('rates')}
 SELECT u AS "user", i AS item, r / 1e{FINE_DIGITS} AS score, n AS rank FROM recs""",
     "eval_ppr": f"""WITH {RATES},{TRAIN_TEST},{_walk('train', FINE_STEPS, FINE_DIGITS)},{_walk_recs('train')},{COUNTS}
