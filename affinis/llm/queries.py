@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinis.llm import licenses, mixing, secrets
+from affinis.llm import licenses, mixing, secrets, token_counts
 from affinis.llm.common import table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each document under the 50k byte-level vocabulary."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the weighted mix takes from each document."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -45,6 +54,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op4_mix": op4_mix,
     "op5_secrets": op5_secrets,
     "op6_licenses": op6_licenses,
