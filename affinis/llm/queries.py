@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinis.llm import licenses, mixing, secrets, token_counts
+from affinis.llm import decontamination, license_scan, mixing, pii, secret_scan, token_counts
 from affinis.llm.common import table
 
 
@@ -18,6 +18,24 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each document."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+        pii.span_text(F.col("pii")).alias("spans"),
+    )
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items contained in documents, with up to six edits in a hundred characters."""
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the weighted mix takes from each document."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -26,21 +44,21 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in each document."""
-    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
-    base = [r.kind for r in secrets.RULES if r.base]
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secret_scan.RULES if r.base]
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
     of_base = F.filter("spans", lambda s: s["kind"].isin(base))
     return found.select(
         "doc_id",
         *[count(kind).alias(f"n_{kind}") for kind in base],
-        F.sha2(secrets.span_text(of_base), 256).alias("base_sha256"),
-        secrets.span_text(F.col("spans")).alias("spans"),
+        F.sha2(secret_scan.span_text(of_base), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"),
     )
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses named in each document."""
-    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id",
         "n_words",
@@ -55,6 +73,8 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_pii": op2_pii,
+    "op3_decontamination": op3_decontamination,
     "op4_mix": op4_mix,
     "op5_secrets": op5_secrets,
     "op6_licenses": op6_licenses,
