@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinis.llm import decontamination, license_scan, mixing, pii, secret_scan, token_counts
+from affinis.llm import decontamination, language_id, license_scan, mixing, pii, quality, secret_scan, token_counts
 from affinis.llm.common import table
 
 
@@ -71,6 +71,21 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of each document, the base rule, and the verdict of the trees."""
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main language of each document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    out = language_id.held_out(F.col("doc_id"))
+    names, logs = language_id.learn(docs.where(~out))
+    found = language_id.identify(docs.select("doc_id", "text", out.alias("held_out")), names, logs)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_pii": op2_pii,
@@ -78,4 +93,6 @@ QUERIES = {
     "op4_mix": op4_mix,
     "op5_secrets": op5_secrets,
     "op6_licenses": op6_licenses,
+    "op7_quality": op7_quality,
+    "op10_language_id": op10_language_id,
 }
