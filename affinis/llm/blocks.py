@@ -12,7 +12,9 @@ BLOCK_BYTES = 24 << 20
 BLOCK_DOCS = 60_000
 
 
-def document_blocks(batches: Iterable[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list, list[bytes]]]:
+def document_blocks(
+    batches: Iterable[pa.RecordBatch], limit: int = BLOCK_BYTES, docs: int = BLOCK_DOCS
+) -> Iterator[tuple[int, list, list[bytes]]]:
     """``(number, ids, texts)`` of about ``limit`` bytes; a NULL text is empty, a longer text is a block of its own.
 
     Numbers are unique in the job and the same when a task is run again on the same input.
@@ -26,7 +28,7 @@ def document_blocks(batches: Iterable[pa.RecordBatch], limit: int = BLOCK_BYTES)
         keys = batch.column("doc_id").to_pylist()
         for key, text in zip(keys, batch.column("text").cast(pa.large_binary())):
             data = text.as_py() or b""
-            if ids and (size + len(data) > limit or len(ids) == BLOCK_DOCS):
+            if ids and (size + len(data) > limit or len(ids) == docs):
                 yield number, ids, texts
                 number, ids, texts, size = number + 1, [], [], 0
             ids.append(key)
@@ -41,3 +43,20 @@ def binaries(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
     data = np.ascontiguousarray(data)
     offsets = (np.asarray(bounds, np.int64) * data.dtype.itemsize).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def part_keys(spark, n: int) -> list[int]:
+    """One key per shuffle partition: ``repartition(n, key)`` sends the i-th of them to partition i."""
+    from pyspark.sql import functions as F
+
+    where = F.pmod(F.hash(F.col("id").cast("int")), F.lit(n))
+    keys = spark.range(40 * n).groupBy(where.alias("to")).agg(F.min("id").alias("key"))
+    found = {r["to"]: r["key"] for r in keys.collect()}
+    return [found.get(i, i) for i in range(n)]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit over all others."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinis.llm import decontamination, language_id, license_scan, mixing, pii, quality, secret_scan, token_counts
+from affinis.llm import decontamination, language_id, license_scan, mixing, ngram_join, pii, quality, secret_scan, token_counts
 from affinis.llm.common import table
 
 
@@ -77,6 +77,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents linked by four fifths of their five-word shingles."""
+    return ngram_join.similarity_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main language of each document, learned from three quarters of them."""
     docs = table(spark, sf_dir, "documents")
@@ -94,5 +99,6 @@ QUERIES = {
     "op5_secrets": op5_secrets,
     "op6_licenses": op6_licenses,
     "op7_quality": op7_quality,
+    "op8_ngram_join": op8_ngram_join,
     "op10_language_id": op10_language_id,
 }
