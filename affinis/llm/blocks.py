@@ -60,3 +60,47 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
+
+
+PACKED = "part int, nodes binary, keys binary, owners binary"
+
+
+def packed_rows(parts: list[int], nodes: np.ndarray, key: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
+    """Keys of 64 bits and the nodes that have them, one row per partition.
+
+    The upper half of a key gives the partition, the lower half travels, with
+    the node's number in the block; the top bit of ``owner`` is a mark that is
+    passed on. Unequal keys meet by chance once in 2^32, so what shares a key
+    has still to be compared.
+    """
+    n = len(parts)
+    part = ((key >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    order = np.argsort(part, kind="stable")
+    key, owner = key[order].astype(np.uint32), owner[order]
+    cuts = np.searchsorted(part[order], np.arange(n + 1))
+    rows = []
+    for p in range(n):
+        a, b = cuts[p], cuts[p + 1]
+        if a < b:
+            used, local = np.unique(owner[a:b] & 0x7FFF, return_inverse=True)
+            marked = local.astype(np.uint16) | (owner[a:b] & 0x8000)
+            rows.append((parts[p], nodes[used].tobytes(), key[a:b].tobytes(), marked.tobytes()))
+    columns = list(zip(*rows)) or [[]] * 4
+    arrays = [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])]
+    return pa.RecordBatch.from_arrays(arrays, names=["part", "nodes", "keys", "owners"])
+
+
+def unpacked(rows: list[tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(key, node, mark)`` of the rows of a partition, only keys that occur more than once, in order of key."""
+    keys, nodes, marks = [], [], []
+    for names, key, owner in rows:
+        owners = np.frombuffer(owner, np.uint16)
+        keys.append(np.frombuffer(key, np.uint32))
+        nodes.append(np.frombuffer(names, np.int64)[owners & 0x7FFF])
+        marks.append((owners >> 15).astype(bool))
+    key, node, mark = np.concatenate(keys), np.concatenate(nodes), np.concatenate(marks)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    same = np.append(key[1:] == key[:-1], False)[: len(key)]
+    several = same | np.append(False, same[:-1])[: len(key)]
+    return key[several], node[order[several]], mark[order[several]]

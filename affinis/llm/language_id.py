@@ -123,8 +123,8 @@ def classifier(names: list[str], logs: np.ndarray) -> Callable[[str | None], tup
     return run
 
 
-def identify(docs: DataFrame, names: list[str], logs: np.ndarray) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; of the documents only ``text`` is looked at."""
+def guess(names: list[str], logs: np.ndarray):
+    """Column function from a text to ``struct<lang_pred, score>``."""
     logs = logs.astype(np.float32)
 
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -132,6 +132,10 @@ def identify(docs: DataFrame, names: list[str], logs: np.ndarray) -> DataFrame:
         for batch in texts:
             yield pd.DataFrame([classify(t) for t in batch], columns=["lang_pred", "score"])
 
-    guess = F.pandas_udf(predict, "lang_pred string, score double")
-    marked = docs.withColumn("_guess", guess("text"))
+    return F.pandas_udf(predict, "lang_pred string, score double")
+
+
+def identify(docs: DataFrame, names: list[str], logs: np.ndarray) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``; of the documents only ``text`` is looked at."""
+    marked = docs.withColumn("_guess", guess(names, logs)("text"))
     return marked.withColumns({"lang_pred": F.col("_guess.lang_pred"), "score": F.col("_guess.score")}).drop("_guess")

@@ -64,6 +64,10 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_copies: int = 3, seed: str = "mix") -> DataFrame:
     """Per row of ``docs``: ``doc_id, size, source_size, target, copies, taken``."""
+    return _mix(docs, weights, max_copies, seed)
+
+
+def _mix(docs: DataFrame, weights: tuple[float, ...], max_copies: int, seed: str, extra: tuple[str, ...] = ()) -> DataFrame:
     sizes = materialize(sized(docs, seed), "mix-sizes")
     sources = materialize(source_targets(sizes, weights, max_copies), "mix-sources")
     budget, rows = sources.agg(F.sum("source_size"), F.sum("n")).first()
@@ -81,7 +85,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_copies: int
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sent = placed.withColumn("inside", F.sum("size").over(inside)).join(before, ["rank", "slot"])
     sent = sent.withColumn("sent", F.col("before") + F.col("inside"))
-    sent = materialize(sent.select("doc_id", "size", "rank", "sent", "source_size", "target"), "mix-sent")
+    sent = materialize(sent.select("doc_id", *extra, "size", "rank", "sent", "source_size", "target"), "mix-sent")
 
     # an entry per copy; its key orders all copies by virtual finish time
     def key(copy: int):
@@ -107,9 +111,30 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_copies: int
     copies = taken.cast("int")
     return sent.select(
         "doc_id",
+        *extra,
         "size",
         "source_size",
         "target",
         copies.alias("copies"),
         (copies * F.col("size")).alias("taken"),
     )
+
+
+def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_copies: int = 3, seed: str = "mix") -> DataFrame:
+    """``docs`` with each row as often as the mix takes it, numbered in ``mix_copy``.
+
+    Rows meet their number of copies by id, source and size; equal ones of these are numbered on both sides.
+    """
+    docs = docs.drop("mix_copy")
+    key = ["doc_id", "source", "size"]
+    taken = _mix(docs, weights, max_copies, seed, extra=("source",)).select(*key, "copies")
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy("copies"))
+    taken = taken.withColumn("nth", nth).where("copies > 0").select(*[F.col(c).alias(f"_{c}") for c in (*key, "nth", "copies")])
+    words = F.coalesce(F.regexp_count("text", F.lit(BLANK_WORD)), F.lit(0)).cast("bigint")
+    names = docs.columns
+    held = docs.select(F.struct(*names).alias("row"), "doc_id", "source", words.alias("size"))
+    held = held.withColumn("nth", F.row_number().over(Window.partitionBy(*key).orderBy("size")))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("doc_id", "source")]
+    same += [F.col(c) == F.col(f"_{c}") for c in ("size", "nth")]
+    met = held.join(taken, same[0] & same[1] & same[2] & same[3])
+    return met.select("row.*", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("mix_copy"))

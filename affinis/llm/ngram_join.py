@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinis.llm.blocks import document_blocks, mixed, part_keys
+from affinis.llm.blocks import PACKED, document_blocks, mixed, packed_rows, part_keys, unpacked
 from affinis.llm.common import partitions
 from affinis.llm.components import components
 from affinis.session import materialize
@@ -154,14 +154,10 @@ def _classes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "node"])
 
 
-SIGNATURES = "part int, nodes binary, keys binary, owners binary"
-
-
 def _signatures(parts: list[int], layout: list[Band]):
     lows = [b.low for b in layout]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = len(parts)
         for _, _, texts in document_blocks(batches, docs=BLOCK_DOCS):
             nodes: dict[int, int] = {}
             keys, owners = [], []
@@ -179,45 +175,19 @@ def _signatures(parts: list[int], layout: list[Band]):
             if not keys:
                 continue
             key, owner = np.concatenate(keys), np.concatenate(owners)
-            part = ((key >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-            order = np.argsort(part, kind="stable")
-            key, owner = key[order].astype(np.uint32), owner[order]
-            cuts = np.searchsorted(part[order], np.arange(n + 1))
-            names = np.array(list(nodes), np.int64)
-            rows = []
-            for p in range(n):
-                a, b = cuts[p], cuts[p + 1]
-                if a == b:
-                    continue
-                used, local = np.unique(owner[a:b] & 0x7FFF, return_inverse=True)
-                packed = local.astype(np.uint16) | (owner[a:b] & 0x8000)
-                rows.append((parts[p], names[used].tobytes(), key[a:b].tobytes(), packed.tobytes()))
-            columns = list(zip(*rows))
-            arrays = [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])]
-            yield pa.RecordBatch.from_arrays(arrays, names=["part", "nodes", "keys", "owners"])
+            yield packed_rows(parts, np.array(list(nodes), np.int64), key, owner)
 
     return run
 
 
 def _stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each key that two nodes or more have: the smallest node of the key's own band with each other node."""
-    held: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+    held: dict[int, list[tuple[bytes, bytes, bytes]]] = {}
     for batch in batches:
         for r in batch.to_pylist():
-            owner = np.frombuffer(r["owners"], np.uint16)
-            nodes = np.frombuffer(r["nodes"], np.int64)
-            held.setdefault(r["part"], []).append(
-                (np.frombuffer(r["keys"], np.uint32), nodes[owner & 0x7FFF], (owner >> 15).astype(bool))
-            )
+            held.setdefault(r["part"], []).append((r["nodes"], r["keys"], r["owners"]))
     for part, rows in held.items():
-        key, node, own = (np.concatenate(c) for c in zip(*rows))
-        # drop keys that occur once, before anything is sorted by three columns
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        same = np.append(key[1:] == key[:-1], False)
-        order = order[same | np.append(False, same[:-1])]
-        key = key[same | np.append(False, same[:-1])]
-        node, own = node[order], own[order]
+        key, node, own = unpacked(rows)
         order = np.lexsort((node, ~own, key))
         key, node, own = key[order], node[order], own[order]
         first = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))[: len(key)]
@@ -267,7 +237,7 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     classes = materialize(texts.mapInArrow(_classes, "doc_id bigint, n_shingles bigint, node bigint"), "classes")
     largest = classes.agg(F.max("n_shingles")).first()[0] or 0
 
-    keyed = texts.mapInArrow(_signatures(part_keys(spark, n), bands(largest)), SIGNATURES).repartition(n, "part")
+    keyed = texts.mapInArrow(_signatures(part_keys(spark, n), bands(largest)), PACKED).repartition(n, "part")
     stars = materialize(keyed.mapInArrow(_stars, "key bigint, head bigint, node bigint, own boolean"), "stars")
     first = stars.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     first = materialize(first, "pairs")

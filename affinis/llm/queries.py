@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinis.llm import decontamination, language_id, license_scan, mixing, ngram_join, pii, quality, secret_scan, token_counts
+from affinis.llm import decontamination, language_id, license_scan, mixing, ngram_join, pii, quality, secret_scan, suffix_dedup, token_counts
 from affinis.llm.common import table
 
 
@@ -82,6 +82,12 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_classes(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the 50-byte strings of smaller documents."""
+    removed = suffix_dedup.removals(table(spark, sf_dir, "documents"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main language of each document, learned from three quarters of them."""
     docs = table(spark, sf_dir, "documents")
@@ -100,5 +106,6 @@ QUERIES = {
     "op6_licenses": op6_licenses,
     "op7_quality": op7_quality,
     "op8_ngram_join": op8_ngram_join,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
 }
