@@ -148,6 +148,17 @@ def _hits(items: Items, rate: float):
     return run
 
 
+def _leaks(items: Items, rate: float):
+    """Column function: whether a text contains one of the items."""
+
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        match = matcher(items, rate)
+        for batch in texts:
+            yield pd.Series([bool(match(t)) for t in batch], dtype=bool)
+
+    return F.pandas_udf(run, "boolean")
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, limit: int = BLOCK_CHARS) -> DataFrame:
     """``(doc_id, item_id, distance, start, end)``: every item that a document contains."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -162,12 +173,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
 def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, limit: int = BLOCK_CHARS) -> DataFrame:
     """The documents that contain no test item."""
     for block in item_blocks(benchmark, limit):
-
-        @F.pandas_udf("boolean")
-        def leaks(texts: Iterator[pd.Series], items: Items = block) -> Iterator[pd.Series]:
-            match = matcher(items, rate)
-            for batch in texts:
-                yield pd.Series([bool(match(t)) for t in batch], dtype=bool)
-
-        docs = docs.where(~leaks("text"))
+        docs = docs.where(~_leaks(block, rate)("text"))
     return docs
