@@ -161,6 +161,8 @@ def detect(docs: DataFrame, rules: tuple[Signature, ...] | None = None) -> DataF
     """``(doc_id, digest, found)`` of each different document that has detections."""
     suspects = docs.where(F.col("text").rlike(GATE))
     suspects = suspects.select("doc_id", F.xxhash64("text").alias("digest"), words_of(F.col("text")).alias("words"))
+    # written, or the optimizer puts the making of the words into every rule
+    suspects = materialize(suspects, "license-words")
     found = suspects.select("doc_id", "digest", detections(F.col("words"), rules or signatures()).alias("found"))
     return found.where(F.size("found") > 0)
 
