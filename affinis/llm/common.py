@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,18 +27,27 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once; used by name in several places, it would be computed in each."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def running_totals(numbers: Column) -> Column:
     """Totals up to and with each element of an ``array<bigint>``.
 
     Folding an array into an array copies it for every element, so the array is
     folded in pieces of about the square root of its length.
     """
-    nothing = F.array().cast("array<bigint>")
     width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(numbers)))).cast("int")
     pieces = F.when(
         F.size(numbers) > 0,
         F.transform(F.sequence(F.lit(0), F.size(numbers) - 1, width), lambda i: F.slice(numbers, i + 1, width)),
     ).otherwise(F.array().cast("array<array<bigint>>"))
+    return let(pieces, _totals_of_pieces)
+
+
+def _totals_of_pieces(pieces: Column) -> Column:
+    nothing = F.array().cast("array<bigint>")
 
     def fold(piece: Column, start: Column, inclusive: bool) -> Column:
         first = F.struct(start.cast("bigint").alias("sum"), nothing.alias("out"))
@@ -56,13 +67,22 @@ def regex_spans(text: Column, pattern: Column, measure=F.char_length) -> Column:
     Splitting at the matches gives what lies between them, so starts and ends
     are running totals of lengths. ``measure`` turns a string into its length.
     """
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    between = F.split(text, pattern, -1)
-    sizes = F.zip_with(
-        F.slice(between, 1, F.size(found)), found, lambda g, m: (measure(g) + measure(m)).cast("bigint")
-    )
-    return F.zip_with(
-        running_totals(sizes),
-        found,
-        lambda end, m: F.struct((end - measure(m)).alias("start"), end.alias("end"), m.alias("text")),
+    both = F.struct(
+        F.regexp_extract_all(text, pattern, F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("between")
     )
+
+    def lengths(p: Column) -> Column:
+        return F.zip_with(
+            F.slice(p["between"], 1, F.size(p["found"])),
+            p["found"],
+            lambda g, m: (measure(g) + measure(m)).cast("bigint"),
+        )
+
+    def spans(p: Column) -> Column:
+        return F.zip_with(
+            let(lengths(p), running_totals),
+            p["found"],
+            lambda end, m: F.struct((end - measure(m)).alias("start"), end.alias("end"), m.alias("text")),
+        )
+
+    return let(both, spans)

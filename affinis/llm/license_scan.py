@@ -17,6 +17,7 @@ looked at.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,7 +32,7 @@ GATE = r"(?i)licen|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by"
 
 @dataclass(frozen=True)
 class Signature:
-    """``pattern`` runs over words with one blank between; ``keyword`` is a word of each of its matches."""
+    """``pattern`` runs over words with one blank between; ``keyword`` is a word of each match, ``also`` a part of it."""
 
     label: str
     keyword: str
@@ -39,6 +40,7 @@ class Signature:
     priority: int
     confidence: float
     base: bool = False
+    also: str = ""
 
 
 # The phrases of the base, and the names under which public licenses are known.
@@ -93,12 +95,12 @@ NAMES = (
     ("cc-by-nc", "creative", "creative commons attribution noncommercial(?: [1-4] [05])?"),
 )
 FORMS = (
-    (1, 1.0, "spdx license identifier {}"),
-    (2, 0.95, "(?:is |are )?(?:licensed|licenced|released|distributed|published|available) under (?:the )?{}(?: licen[sc]e)?"),
-    (2, 0.95, "under the terms of (?:the )?{}(?: licen[sc]e)?"),
-    (3, 0.85, "under the {} licen[sc]e"),
-    (3, 0.85, "licen[sc]e {}"),
-    (4, 0.7, "{} licen[sc]e"),
+    (1, 1.0, "spdx license identifier ", "spdx license identifier {}"),
+    (2, 0.95, "ed under ", "(?:is |are )?(?:licensed|licenced|released|distributed|published|available) under (?:the )?{}(?: licen[sc]e)?"),
+    (2, 0.95, "under the terms of ", "under the terms of (?:the )?{}(?: licen[sc]e)?"),
+    (3, 0.85, "under the ", "under the {} licen[sc]e"),
+    (3, 0.85, "licen", "licen[sc]e {}"),
+    (4, 0.7, " licen", "{} licen[sc]e"),
 )
 
 
@@ -106,9 +108,9 @@ def signatures() -> tuple[Signature, ...]:
     """Base phrases first, then every form with every name, best form first."""
     whole = "(?<= ){}(?= )".format
     rules = [Signature(label, phrase.split()[-1], whole(phrase), 0, 1.0, True) for label, phrase in BASE]
-    for priority, confidence, form in FORMS:
+    for priority, confidence, also, form in FORMS:
         for label, keyword, name in NAMES:
-            rules.append(Signature(label, keyword, whole(form.format(f"(?:{name})")), priority, confidence))
+            rules.append(Signature(label, keyword, whole(form.format(f"(?:{name})")), priority, confidence, also=also))
     return tuple(rules)
 
 
@@ -123,21 +125,11 @@ def _blanks(text: Column) -> Column:
 
 def detections(words: Column, rules: tuple[Signature, ...]) -> Column:
     """``array<struct<start, end, priority, place, label, confidence, base>>`` in words, ends exclusive."""
-    table = F.array(
-        *[
-            F.struct(
-                F.lit(f" {r.keyword} ").alias("keyword"),
-                F.lit(r.pattern).alias("pattern"),
-                F.lit(r.label).alias("label"),
-                F.lit(r.priority).alias("priority"),
-                F.lit(place).alias("place"),
-                F.lit(r.confidence).alias("confidence"),
-                F.lit(r.base).alias("base"),
-            )
-            for place, r in enumerate(rules)
-        ]
-    )
-    gated = F.filter(table, lambda r: F.contains(words, r["keyword"]) & F.rlike(words, r["pattern"]))
+    # one literal instead of some thousand columns
+    fields = "keyword string, pattern string, label string, priority int, place int, confidence double, base boolean, also string"
+    rows = [vars(r) | {"keyword": f" {r.keyword} ", "place": place} for place, r in enumerate(rules)]
+    table = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{fields.replace(' ', ':').replace(',:', ',')}>>")
+    gated = F.filter(table, lambda r: F.contains(words, r["keyword"]) & F.contains(words, r["also"]) & F.rlike(words, r["pattern"]))
     return F.flatten(
         F.transform(
             gated,
@@ -178,7 +170,7 @@ def unsuppressed(found: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "digest", "d.*")
     order = Window.partitionBy("doc_id", "digest").orderBy("start", F.desc("end"), "priority", "place")
     order = order.rowsBetween(Window.unboundedPreceding, -1)
-    levels = sorted({p for p, _, _ in FORMS} | {0})
+    levels = sorted({p for p, *_ in FORMS} | {0})
     covered = F.lit(False)
     for p in levels:
         reach = F.max(F.when(F.col("priority") <= p, F.col("end"))).over(order)
