@@ -17,7 +17,10 @@ element deleted, need not be compared.
 * Copies (equal sets) are one node of the graph. In each group of nodes with a
   common key all are compared with the smallest one; pairs that are then still
   in different components are compared in a second round. Together this finds
-  every component without comparing all pairs of a group of near copies.
+  every component, and members of one component are not compared again.
+* Before texts are fetched, profiles decide: how many elements a set has in each
+  part of the hash range. Sets differ in at least as many elements as their
+  profiles do, so most pairs that share a passage only end here.
 * Comparison is exact on the sets of 64-bit shingle hashes.
 
 Defined cases: a text that is NULL or without words has an empty set and is
@@ -42,12 +45,17 @@ from pyspark.sql import functions as F
 from affinis.llm.blocks import PACKED, document_blocks, mixed, packed_rows, part_keys, unpacked
 from affinis.llm.common import partitions
 from affinis.llm.components import components
+from affinis.operators.pairs import spread
 from affinis.session import materialize
 
 WORDS = 5
 #: Weight of an expected crowded key against a signature, when a band is laid out.
 CROWDED = 200.0
 BLOCK_DOCS = 30_000
+#: Members of a key that are compared in one go; a larger group is cut into pairs of blocks.
+GROUP = 2048
+CLASSES = "doc_id bigint, n_shingles bigint, node bigint, profile binary"
+PAIRS = "a bigint, b bigint"
 ODD = np.uint64(0x9E3779B97F4A7C15)
 BAND, SEGMENT = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
@@ -125,6 +133,26 @@ def node_of(shingles: np.ndarray) -> int:
     return int(mixed(total).view(np.int64)[0])
 
 
+def profile_of(shingles: np.ndarray) -> bytes:
+    """Number of elements, up to 255, in each of 2^p equal parts of the hash range, one to two a part on average."""
+    bits = max(0, len(shingles).bit_length() - 1)
+    if not bits:
+        return bytes([min(len(shingles), 255)])
+    parts = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(parts, 255).astype(np.uint8).tobytes()
+
+
+def folded(profile: bytes, width: int) -> np.ndarray:
+    """A profile with ``width`` parts."""
+    parts = np.frombuffer(profile, np.uint8).astype(np.int32)
+    return parts.reshape(width, -1).sum(axis=1)
+
+
+def allowed(total):
+    """The most elements in which two sets of ``total`` elements together can differ at similarity 0.8."""
+    return total + 2 * (-4 * total // 9)
+
+
 def signatures(shingles: np.ndarray, number: int, band: Band) -> np.ndarray:
     """The keys of a set in the layout of a band."""
     m = band.segments
@@ -149,9 +177,9 @@ def signatures(shingles: np.ndarray, number: int, band: Band) -> np.ndarray:
 
 def _classes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, ids, texts in document_blocks(batches, docs=BLOCK_DOCS):
-        sets = [(len(s), node_of(s)) for s in shingle_sets(texts)]
-        arrays = [pa.array(ids, pa.int64()), pa.array([n for n, _ in sets], pa.int64()), pa.array([v for _, v in sets], pa.int64())]
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "node"])
+        sizes, nodes, profiles = zip(*((len(s), node_of(s), profile_of(s)) for s in shingle_sets(texts)))
+        arrays = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(profiles, pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "node", "profile"])
 
 
 def _signatures(parts: list[int], layout: list[Band]):
@@ -204,6 +232,56 @@ def _stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, names=["key", "head", "node", "own"])
 
 
+def _near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose profiles leave a link possible."""
+    for batch in batches:
+        keep = []
+        for p, q, m, n in zip(*(batch.column(c).to_pylist() for c in ("profile_a", "profile_b", "n_a", "n_b"))):
+            width = min(len(p), len(q))
+            keep.append(np.abs(folded(p, width) - folded(q, width)).sum() <= allowed(m + n))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a key in different components whose profiles leave a link possible.
+
+    Rows come in order of key and block pair; one such group is held at a time.
+    """
+
+    def pairs(rows: list[tuple]) -> pa.RecordBatch:
+        node, root, own, block, size, profile = (list(c) for c in zip(*rows))
+        node, root, own, block, size = (np.array(c) for c in (node, root, own, block, size))
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        if (root != root[0]).any():
+            width = min(map(len, profile))
+            parts = np.stack([folded(p, width) for p in profile]).astype(np.int16)
+            inner = (block == block[0]).all()
+            for i in range(len(node) - 1):
+                use = (root[i + 1 :] != root[i]) & (own[i] | own[i + 1 :])
+                if not inner:
+                    use &= block[i + 1 :] != block[i]
+                use &= np.abs(size[i + 1 :] - size[i]) <= allowed(size[i + 1 :] + size[i])
+                at = np.flatnonzero(use) + i + 1
+                if len(at):
+                    at = at[np.abs(parts[at] - parts[i]).sum(axis=1, dtype=np.int32) <= allowed(size[at] + size[i])]
+                    a.append(np.minimum(node[at], node[i]))
+                    b.append(np.maximum(node[at], node[i]))
+        arrays = [pa.array(np.concatenate(c), pa.int64()) for c in (a, b)]
+        return pa.RecordBatch.from_arrays(arrays, names=["a", "b"])
+
+    current, rows = None, []
+    for batch in batches:
+        columns = ("key", "_low", "_high", "node", "root", "own", "_block", "n", "profile")
+        for key, low, high, *row in zip(*(batch.column(c).to_pylist() for c in columns)):
+            if (key, low, high) != current:
+                if len(rows) > 1:
+                    yield pairs(rows)
+                current, rows = (key, low, high), []
+            rows.append(tuple(row))
+    if len(rows) > 1:
+        yield pairs(rows)
+
+
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows whose text has the node's set (ids may be repeated)."""
     for batch in batches:
@@ -234,25 +312,30 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id``."""
     spark, n = docs.sparkSession, partitions(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    classes = materialize(texts.mapInArrow(_classes, "doc_id bigint, n_shingles bigint, node bigint"), "classes")
+    classes = materialize(texts.mapInArrow(_classes, CLASSES), "classes")
     largest = classes.agg(F.max("n_shingles")).first()[0] or 0
 
     keyed = texts.mapInArrow(_signatures(part_keys(spark, n), bands(largest)), PACKED).repartition(n, "part")
     stars = materialize(keyed.mapInArrow(_stars, "key bigint, head bigint, node bigint, own boolean"), "stars")
-    first = stars.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    first = materialize(first, "pairs")
+    profiles = classes.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("profile").alias("profile"))
+    profiles = materialize(profiles, "profiles")
 
-    wanted = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ids = classes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("id"))
-    known = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "text")
-    known = materialize(known.mapInArrow(_texts, "node bigint, text string").dropDuplicates(["node"]), "texts")
+    def near(pairs: DataFrame) -> DataFrame:
+        for x in "ab":
+            pairs = pairs.join(profiles.select(*[F.col(c).alias(f"{c}_{x}") for c in ("n", "profile")], F.col("node").alias(x)), x)
+        return pairs.mapInArrow(_near, PAIRS)
 
     def similar(pairs: DataFrame) -> DataFrame:
-        right = known.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        left = known.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        return materialize(pairs.join(right, "b").join(left, "a").mapInArrow(_similar, "a bigint, b bigint"), "similar")
-
-    links = similar(first)
+        pairs = materialize(pairs, "pairs")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        ids = classes.select("node", "doc_id").join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("id"))
+        known = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "text")
+        known = materialize(known.mapInArrow(_texts, "node bigint, text string").dropDuplicates(["node"]), "texts")
+        for x in "ab":
+            pairs = pairs.join(known.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")), x)
+        return materialize(pairs.mapInArrow(_similar, PAIRS), "similar")
+
+    links = similar(near(stars.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()))
     roots = components(links)
 
     # second round: members of a key that the first round left in different components
@@ -261,23 +344,20 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
         joined = rows.join(at, F.col(column) == F.col("_node"), "left")
         return joined.withColumn(name, F.coalesce("_root", column)).drop("_node", "_root")
 
-    marked = rooted(rooted(stars, "head", "head_root"), "node", "root")
-    open_keys = marked.where("root <> head_root").select("key").distinct()
-    members = materialize(marked.join(open_keys, "key", "left_semi").select("key", "node", "root", "own", "head_root"), "open")
-    x, y = members.where("root <> head_root").alias("x"), members.alias("y")
-    apart = (F.col("x.root") != F.col("y.root")) & (F.col("x.own") | F.col("y.own"))
-    once = (F.col("y.root") == F.col("y.head_root")) | (F.col("x.node") < F.col("y.node"))
-    pairs = x.join(y, F.col("x.key") == F.col("y.key")).where(apart & once)
-    second = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    second = second.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = similar(second)
+    marked = materialize(rooted(rooted(stars, "head", "head_root"), "node", "root"), "marked")
+    # the head has met all members; keys with two other components or more are still open
+    others = marked.groupBy("key").agg((F.min("root") != F.max("root")).alias("several"))
+    members = marked.join(others.where("several").select("key"), "key", "left_semi").select("key", "node", "root", "own")
+    members = spread(members.join(profiles, "node"), ["key"], "node", GROUP)
+    members = members.repartition(n, "key", "_low", "_high").sortWithinPartitions("key", "_low", "_high")
+    more = similar(members.mapInArrow(_apart, PAIRS).distinct())
     if not more.isEmpty():
         roots = components(links.union(more))
 
     placed = classes.where("n_shingles > 0").select("node", "doc_id")
     placed = rooted(placed, "node", "root")
     least = placed.groupBy("root").agg(F.min("doc_id").alias("least"))
-    of_root = rooted(classes, "node", "root").join(least, "root", "left")
+    of_root = rooted(classes.select("doc_id", "n_shingles", "node"), "node", "root").join(least, "root", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
     return of_root.select("doc_id", "n_shingles", component.alias("component_id"))
 
