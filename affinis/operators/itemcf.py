@@ -13,45 +13,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinis.operators.pairs import BLOCK_SIZE, largest_group, member_pairs
+from affinis.functions.fixedpoint import exact_sum, from_units, to_units
+from affinis.operators.pairs import BLOCK_SIZE, member_pairs
 from affinis.operators.topk import best_first, top_k
 
 
+def _total(value: Column) -> Column:
+    """A sum that does not depend on the order of rows."""
+    return from_units(exact_sum(to_units(value)))
+
+
 def item_weight(rates: DataFrame) -> DataFrame:
     """Weight of an item: the sum of its rates."""
-    return rates.groupBy("item").agg(F.sum("rate").alias("weight"))
+    return rates.groupBy("item").agg(_total(F.col("rate")).alias("weight"))
 
 
 def item_moments(rates: DataFrame) -> DataFrame:
-    """Raters, mean rate and squared deviation of every item.
+    """Raters, sums, mean rate and squared deviation of every item.
 
-    The deviation is exactly zero when all raters agree; that is decided on the
-    sums themselves, not on a difference of rounded values.
+    The deviation sums centred values. It is zero if and only if all raters
+    agree, which is decided on the smallest and the largest rate.
     """
-    n, total, squares = F.col("n"), F.col("total"), F.col("squares")
-    flat = n * squares == total * total
-    return (
-        rates.groupBy("item")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("rate").alias("total"),
-            F.sum(F.col("rate") * F.col("rate")).alias("squares"),
-        )
-        .withColumn("mean", total / n)
-        .withColumn("deviation", F.when(flat, 0.0).otherwise(squares - total * total / n))
+    sums = rates.groupBy("item").agg(
+        F.count(F.lit(1)).alias("n"),
+        _total(F.col("rate")).alias("total"),
+        _total(F.col("rate") * F.col("rate")).alias("squares"),
+        (F.min("rate") == F.max("rate")).alias("_flat"),
     )
+    sums = sums.withColumn("mean", F.col("total") / F.col("n"))
+    centred = rates.select("item", "rate").join(sums, "item").withColumn("_c", F.col("rate") - F.col("mean"))
+    deviation = F.when(F.max("_flat"), 0.0).otherwise(_total(F.col("_c") * F.col("_c")))
+    fixed = [F.max(c).alias(c) for c in ("n", "total", "squares", "mean")]
+    return centred.groupBy("item").agg(*fixed, deviation.alias("deviation"))
 
 
-def item_pairs(
-    rates: DataFrame, payload: tuple[str, ...] = ("rate",), block_size: int = BLOCK_SIZE, largest: int | None = None
-) -> DataFrame:
+def item_pairs(rates: DataFrame, payload: tuple[str, ...] = ("rate",), block_size: int = BLOCK_SIZE) -> DataFrame:
     """Every item pair of every basket, lower id first, with both sides' payload."""
-    pairs = member_pairs(rates, "user", "item", payload, block_size, largest)
+    pairs = member_pairs(rates, "user", "item", payload, block_size)
     return pairs.withColumnsRenamed({"item_a": "item_i", "item_b": "item_j"})
 
 
 def cooccurrence(interactions: DataFrame, min_support: int = 1, block_size: int = BLOCK_SIZE) -> DataFrame:
-    """Number of users that have both items, for pairs with at least ``min_support``."""
+    """Number of users that have both items, for pairs with at least ``min_support``.
+
+    An item with fewer users is in no such pair and is left out before pairs are made.
+    """
+    if min_support > 1:
+        users = interactions.groupBy("item").agg(F.count(F.lit(1)).alias("_users")).where(F.col("_users") >= min_support)
+        interactions = interactions.join(users, "item", "left_semi")
     counts = item_pairs(interactions, (), block_size).groupBy("item_i", "item_j").agg(F.count(F.lit(1)).alias("co"))
     return counts.where(F.col("co") >= min_support) if min_support > 1 else counts
 
@@ -62,19 +71,20 @@ def overlap(rates: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     return item_pairs(rates, ("rate",), block_size).groupBy("item_i", "item_j").agg(F.sum(smaller).alias("overlap"))
 
 
-def scored_by_weight(
-    rates: DataFrame, contribution: Column, block_size: int = BLOCK_SIZE, largest: int | None = None
-) -> DataFrame:
+def _summed(pairs: DataFrame, contribution: Column) -> DataFrame:
+    """Only the pair and its sum are shuffled: what the items bring is in the contribution already."""
+    units = pairs.select("item_i", "item_j", to_units(contribution).alias("_units"))
+    sums = units.groupBy("item_i", "item_j").agg(exact_sum(F.col("_units")).alias("_units"))
+    return sums.select("item_i", "item_j", from_units(F.col("_units")).alias("sim"))
+
+
+def scored_by_weight(rates: DataFrame, contribution: Column, block_size: int = BLOCK_SIZE) -> DataFrame:
     """Summed contributions of shared users over the geometric mean of both weights."""
-    weights = item_weight(rates).where(F.col("weight") > 0)
-    largest = largest_group(rates, ["user"]) if largest is None else largest
-    weighted = rates.select("user", "item", "rate").join(weights, "item")
-    pairs = item_pairs(weighted, ("rate", "weight"), block_size, largest)
-    joint = pairs.groupBy("item_i", "item_j").agg(
-        F.sum(contribution).alias("_joint"), F.max("weight_a").alias("_wi"), F.max("weight_b").alias("_wj")
-    )
-    sim = F.col("_joint") / F.sqrt(F.col("_wi") * F.col("_wj"))
-    return joint.select("item_i", "item_j", sim.alias("sim"))
+    factor = (F.lit(1.0) / F.sqrt("weight")).alias("factor")
+    factors = item_weight(rates).where(F.col("weight") > 0).select("item", factor)
+    weighted = rates.select("user", "item", "rate").join(factors, "item")
+    pairs = item_pairs(weighted, ("rate", "factor"), block_size)
+    return _summed(pairs, contribution * (F.col("factor_a") * F.col("factor_b")))
 
 
 def cosine(rates: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
@@ -93,26 +103,14 @@ def raw_product(rates: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
 def pearson(rates: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     """Products of centred rates over shared users, over the deviation of all raters.
 
-    Computed from moments, so all sums are order-free for whole-number rates.
-    Items whose raters all agree have no deviation and form no pair.
+    Each rating travels as one number, its centred rate over the root of the
+    item's deviation. Items whose raters all agree have no deviation and form no
+    pair.
     """
     centre = item_moments(rates).where(F.col("deviation") > 0).select("item", "mean", "deviation")
-    largest = largest_group(rates, ["user"])
-    centred = rates.select("user", "item", "rate").join(centre, "item")
-    pairs = item_pairs(centred, ("rate", "mean", "deviation"), block_size, largest)
-    sums = pairs.groupBy("item_i", "item_j").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("rate_a").alias("si"),
-        F.sum("rate_b").alias("sj"),
-        F.sum(F.col("rate_a") * F.col("rate_b")).alias("sij"),
-        F.max("mean_a").alias("mi"),
-        F.max("mean_b").alias("mj"),
-        F.max("deviation_a").alias("vi"),
-        F.max("deviation_b").alias("vj"),
-    )
-    n, si, sj, sij, mi, mj = (F.col(c) for c in ("n", "si", "sj", "sij", "mi", "mj"))
-    joint = sij - mj * si - mi * sj + n * mi * mj
-    return sums.select("item_i", "item_j", (joint / F.sqrt(F.col("vi") * F.col("vj"))).alias("sim"))
+    z = (F.col("rate") - F.col("mean")) / F.sqrt("deviation")
+    centred = rates.select("user", "item", "rate").join(centre, "item").select("user", "item", z.alias("z"))
+    return _summed(item_pairs(centred, ("z",), block_size), F.col("z_a") * F.col("z_b"))
 
 
 def symmetric(sims: DataFrame, score: str = "sim") -> DataFrame:

@@ -4,10 +4,10 @@ Both model families rest on this one step: items that share a user, and users
 that share an item. Groups are collected into arrays of bounded length and the
 pairs are unfolded from the array, so one shuffle on the group key is enough.
 
-A group above ``block_size`` members is cut into blocks by a hash of the
-member. Each member goes to every block pair its own block takes part in, so a
-hot group becomes many equally sized keys, each of about two blocks, and no
-task ever sees the whole group.
+Every group is cut into blocks of about ``block_size`` members by a hash of the
+member; a small group is one block. Each member goes to every block pair its
+own block takes part in, so a hot group becomes many equally sized keys, each
+of about two blocks, and no task ever sees the whole group.
 """
 
 from __future__ import annotations
@@ -20,40 +20,32 @@ from pyspark.sql import functions as F
 BLOCK_SIZE = 2048
 
 
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Size of the largest group: one pre-aggregated count, one number to the driver."""
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
 def member_pairs(
     df: DataFrame,
     group: str | Sequence[str],
     member: str,
     payload: Sequence[str] = (),
     block_size: int = BLOCK_SIZE,
-    largest: int | None = None,
+    inert: Column | None = None,
 ) -> DataFrame:
     """All ``(group, member_a < member_b)`` of a table unique on (group, member).
 
-    Payload columns come along as ``<name>_a`` and ``<name>_b``. ``largest`` is
-    the size of the largest group if the caller knows it; it is counted if not.
+    Payload columns come along as ``<name>_a`` and ``<name>_b``. Members for
+    which ``inert`` holds are not paired with each other, only with the rest;
+    such pairs are never made.
     """
     keys = [group] if isinstance(group, str) else list(group)
-    rows = df.select(*keys, member, *payload)
-    if largest is None:
-        largest = largest_group(rows, keys)
-    if largest <= block_size:
-        packed = pack(rows, keys, [member, *payload])
-        return unfold(packed, keys, member, payload)
+    still = F.lit(False) if inert is None else F.coalesce(inert, F.lit(False))
+    rows = df.select(*keys, member, *payload, still.alias("_inert"))
     blocked = spread(rows, keys, member, block_size)
-    packed = pack(blocked, [*keys, "_low", "_high"], [member, *payload, "_block"])
+    packed = pack(blocked, [*keys, "_low", "_high"], ["_inert", member, *payload, "_block"])
     pairs = unfold(packed, [*keys, "_low", "_high"], member, [*payload, "_block"])
     new_pair = (F.col("_low") == F.col("_high")) | (F.col("_block_a") != F.col("_block_b"))
     return pairs.where(new_pair).drop("_low", "_high", "_block_a", "_block_b")
 
 
 def spread(rows: DataFrame, keys: list[str], member: str, block_size: int) -> DataFrame:
+    """Each member once per block pair of its block; only groups of several blocks are in the table that is joined."""
     large = (
         rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -82,10 +74,17 @@ def pack(rows: DataFrame, keys: list[str], fields: Sequence[str], carried: Seque
 
 
 def unfold(packed: DataFrame, keys: list[str], member: str, payload: Sequence[str]) -> DataFrame:
+    """Pairs of an array whose elements are in order, inert ones last."""
     fields = [member, *payload]
     first = packed.where(F.size("_members") > 1).select(*keys, "_members", F.posexplode("_members").alias("_at", "_a"))
+    first = first.where(~F.col("_a._inert"))
     rest = F.slice("_members", F.col("_at") + 2, F.size("_members"))
-    second = first.select(*keys, *[F.col(f"_a.{f}").alias(f"{f}_a") for f in fields], F.explode(rest).alias("_b"))
+    second = first.select(*keys, "_a", F.explode(rest).alias("_b"))
+    # a member comes before the inert ones whatever its id
+    swap = F.col("_b._inert") & (F.col(f"_b.{member}") < F.col(f"_a.{member}"))
+    side = lambda f, x, y: F.when(swap, F.col(f"{y}.{f}")).otherwise(F.col(f"{x}.{f}"))
     return second.select(
-        *keys, *[f"{f}_a" for f in fields], *[F.col(f"_b.{f}").alias(f"{f}_b") for f in fields]
+        *keys,
+        *[side(f, "_a", "_b").alias(f"{f}_a") for f in fields],
+        *[side(f, "_b", "_a").alias(f"{f}_b") for f in fields],
     )

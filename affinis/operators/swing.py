@@ -5,51 +5,31 @@ items, ``k`` being the number of items the two users share. Instead of joining
 item pairs with user pairs, the shared items of each user pair are gathered
 once: their count is ``k`` and their pairs are the contributions.
 
-Very popular items are not enumerated. A user pair that shares one item only
-adds nothing, so user pairs are found through the other items, and each user
-carries a bit mask of the popular ones it has. User pairs that share popular
-items and nothing else are counted from the mask frequencies.
+Each user has a *top*: the item of its history that most users have, under one
+order of all items. At an item, users whose top it is are not paired with each
+other. Two users with two shared items still meet, as only one shared item can
+be the top of both; their tops tell whether one more is shared. So the most
+popular items, whose users mostly have them as their top, are not enumerated,
+and there is no limit on how many items that is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinis.functions.fixedpoint import exact_sum, from_units, to_units
 from affinis.operators.itemcf import symmetric
-from affinis.operators.pairs import BLOCK_SIZE, largest_group, member_pairs, pack, unfold
+from affinis.operators.pairs import BLOCK_SIZE, member_pairs
 from affinis.operators.prepare import LIST_SPAN
 from affinis.operators.topk import best_first, top_k
 from affinis.session import stack
 
-HOT_ITEMS = 6
-HOT_ITEM_USERS = 20_000
 _USERS = ["user_a", "user_b"]
 
 
-@dataclass(frozen=True)
-class Skew:
-    """What the plan has to know about the degrees: a few numbers, whatever the data size."""
-
-    longest_history: int
-    widest_item: int | None
-    hot_items: tuple[int, ...] = ()
-
-
-def measure_skew(baskets: DataFrame, hot_item_users: int = HOT_ITEM_USERS) -> Skew:
-    """Longest history, the ids of up to ``HOT_ITEMS`` items above the limit, and the widest other item."""
-    sizes = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    widest = sizes.orderBy(F.desc("n"), "item").limit(HOT_ITEMS + 1).collect()
-    hot = tuple(row["item"] for row in widest[:HOT_ITEMS] if row["n"] > hot_item_users)
-    rest = max((row["n"] for row in widest if row["item"] not in hot), default=0)
-    return Skew(largest_group(baskets, ["user"]), rest, hot)
-
-
 def user_cooccurrence(baskets: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     """Number of shared items for every user pair that shares one."""
     pairs = member_pairs(baskets, "item", "user", (), block_size)
@@ -76,88 +56,60 @@ def shared_users(baskets: DataFrame, block_size: int = BLOCK_SIZE, span: int = L
     )
 
 
-def _hot_in(mask: Column, hot: Sequence[int]) -> Column:
-    """Array of the hot items whose bits are set."""
-    has = [F.when(mask.bitwiseAND(F.lit(1 << b)) != 0, F.struct(F.lit(i).cast("bigint").alias("item"))) for b, i in enumerate(hot)]
-    return F.array_compact(F.array(*has))
-
-
-def _hot_masks(baskets: DataFrame, hot: Sequence[int]) -> DataFrame:
-    bit = F.coalesce(*[F.when(F.col("item") == i, F.lit(1 << b)) for b, i in enumerate(hot)])
-    return baskets.where(F.col("item").isin(*hot)).groupBy("user").agg(F.bit_or(bit).alias("_mask"))
+def with_top(baskets: DataFrame) -> DataFrame:
+    """``baskets`` with ``_top``, the item of each user's history that most users have; the higher id of equal ones."""
+    users = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("_users"))
+    tops = baskets.join(users, "item").groupBy("user").agg(F.max(F.struct("_users", "item"))["item"].alias("_top"))
+    return baskets.join(tops, "user")
 
 
 def linked_item_pairs(
-    baskets: DataFrame,
-    skew: Skew,
-    payload: Sequence[str] = (),
-    carry_out: dict[str, Column] | None = None,
-    block_size: int = BLOCK_SIZE,
+    baskets: DataFrame, payload: Sequence[str] = (), per_item: Sequence[str] = (), block_size: int = BLOCK_SIZE
 ) -> DataFrame:
-    """One row per item pair of every user pair that shares at least one item that is not hot.
+    """One row per item pair of every user pair that shares two items or more.
 
-    Columns are ``item_i < item_j`` and those of ``carry_out``, which are computed
-    once per user pair from user_a < user_b, both sides' payload, ``k`` (all
-    shared items) and ``_hot`` (the hot ones among them).
+    Columns are ``item_i < item_j``, ``user_a < user_b``, ``k`` (all shared items),
+    both users' ``payload`` (``_a``, ``_b``) and both items' ``per_item`` columns
+    (``_i``, ``_j``). Shared items are counted per user pair before any item pair
+    is made, and user pairs that share one item only end there.
     """
-    outputs = carry_out or {c: F.col(c) for c in (*_USERS, "k")}
-    hot, members, carry = skew.hot_items, baskets, list(payload)
-    if hot:
-        members = members.where(~F.col("item").isin(*hot)).join(_hot_masks(baskets, hot), "user", "left")
-        members = members.withColumn("_mask", F.coalesce("_mask", F.lit(0)))
-        carry.append("_mask")
-    has_long = skew.longest_history > block_size
-    if has_long:
-        sizes = baskets.groupBy("user").agg((F.count(F.lit(1)) > block_size).alias("_long"))
-        members = members.join(sizes, "user")
-        carry.append("_long")
-    links = member_pairs(members, "item", "user", carry, block_size, skew.widest_item)
-
-    # The shared items of a user pair are at most the shorter history, so only two
-    # long histories can exceed block_size. Those are counted first, then unfolded
-    # in blocks; all others are gathered in one array.
-    both_long = F.col("_long_a") & F.col("_long_b")
+    carry = [*payload, "_top", *per_item]
+    members = with_top(baskets)
+    if per_item:  # what belongs to the top has to be known where the top is not enumerated
+        of_item = baskets.select(F.col("item").alias("_top"), *[F.col(c).alias(f"_top_{c}") for c in per_item]).distinct()
+        members, carry = members.join(of_item, "_top"), carry + [f"_top_{c}" for c in per_item]
+    links = member_pairs(members, "item", "user", carry, block_size, F.col("item") == F.col("_top"))
     sides = [f"{p}_{side}" for p in payload for side in "ab"]
-    common = F.col("_mask_a").bitwiseAND(F.col("_mask_b")) if hot else F.lit(0)
-    carried = [F.max(c).alias(c) for c in sides] + [F.max(common).alias("_common")]
-    hot_shared = F.bit_count("_common").cast("int")
-    keys = list(outputs)
-    finished = [expr.alias(name) for name, expr in outputs.items()]
-
-    gathered = (
-        pack(links.where(~both_long) if has_long else links, _USERS, ["item"], carried)
-        .withColumn("_hot", hot_shared)
-        .withColumn("k", F.size("_members") + F.col("_hot"))
-        .where(F.col("k") > 1)
+    own = [F.col(f"{c}_a").alias(c) for c in per_item]
+    same_top = F.col("_top_a") == F.col("_top_b")
+    tops = [F.when(same_top, F.col("_top_a")).alias("_both"), *[F.col(f"_top_{c}_a").alias(f"_top_{c}") for c in per_item]]
+    links = links.select(*_USERS, "item", *sides, *own, *tops)
+
+    item = F.struct("item", *per_item)
+    top = F.struct(F.col("_both").alias("item"), *[F.col(f"_top_{c}").alias(c) for c in per_item])
+    gathered = links.groupBy(*_USERS).agg(
+        F.collect_list(item).alias("_links"),
+        F.max(F.when(F.col("_both").isNotNull(), top)).alias("_more"),
+        *[F.max(c).alias(c) for c in sides],
+    )
+    shared = F.when(F.col("_more").isNull(), F.col("_links")).otherwise(F.concat("_links", F.array("_more")))
+    gathered = gathered.withColumn("_items", F.array_sort(shared)).withColumn("k", F.size("_items")).where("k > 1")
+    first = gathered.select(*_USERS, *sides, "k", "_items", F.posexplode("_items").alias("_at", "_i"))
+    rest = F.slice("_items", F.col("_at") + 2, F.col("k"))
+    pairs = first.select(*_USERS, *sides, "k", "_i", F.explode(rest).alias("_j"))
+    return pairs.select(
+        F.col("_i.item").alias("item_i"),
+        F.col("_j.item").alias("item_j"),
+        *_USERS,
+        "k",
+        *sides,
+        *[F.col(f"_{x}.{c}").alias(f"{c}_{x}") for c in per_item for x in "ij"],
     )
-    if hot:
-        gathered = gathered.withColumn("_members", F.array_sort(F.concat("_members", _hot_in(F.col("_common"), hot))))
-    pairs = unfold(gathered.select(*finished, "_members"), keys, "item", ())
-    if has_long:
-        long_links = links.where(both_long)
-        counted = (
-            long_links.groupBy(*_USERS)
-            .agg(F.count(F.lit(1)).alias("_n"), *carried)
-            .withColumn("_hot", hot_shared)
-            .withColumn("k", (F.col("_n") + F.col("_hot")).cast("int"))
-            .where(F.col("k") > 1)
-        )
-        inner = [*_USERS, *sides, "k", "_hot"]
-        shared = long_links.select(*_USERS, "item").join(counted.select(*inner), _USERS)
-        if hot:
-            popular = counted.select(*inner, F.explode(_hot_in(F.col("_common"), hot)).alias("_h"))
-            shared = stack(shared.select(*inner, "item"), popular.select(*inner, "_h.item"))
-        wide = member_pairs(shared, inner, "item", (), block_size)
-        pairs = stack(pairs, wide.select(*finished, "item_a", "item_b"))
-    return pairs.withColumnsRenamed({"item_a": "item_i", "item_b": "item_j"})
 
 
 def quadruples(baskets: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     """(item_i, item_j, user_u, user_v, k): every two users around every two items they share."""
-    skew = measure_skew(baskets)
-    # Every quadruple is a row of the result, so only one item can be left out of the search.
-    first = replace(skew, hot_items=skew.hot_items[:1], widest_item=None) if len(skew.hot_items) > 1 else skew
-    pairs = linked_item_pairs(baskets, first, (), None, block_size)
+    pairs = linked_item_pairs(baskets, block_size=block_size)
     return pairs.select(
         "item_i",
         "item_j",
@@ -167,129 +119,69 @@ def quadruples(baskets: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     )
 
 
-def _only_hot(baskets: DataFrame, hot: Sequence[int], alpha: float) -> DataFrame:
-    """What all user pairs add to pairs of hot items if hot items were all they share.
-
-    At most 2^HOT_ITEMS masks are in use, so the table of mask pairs is bounded
-    whatever the number of users.
-    """
-    counts = _hot_masks(baskets, hot).groupBy("_mask").agg(F.count(F.lit(1)).cast("decimal(19,0)").alias("_n"))
-    partners = counts.withColumn("_mask_b", F.explode(F.sequence(F.col("_mask"), F.lit((1 << len(hot)) - 1))))
-    others = counts.select(F.col("_mask").alias("_mask_b"), F.col("_n").alias("_n_b"))
-    same = F.col("_mask") == F.col("_mask_b")
-    user_pairs = F.when(same, F.col("_n") * (F.col("_n") - 1) / 2).otherwise(F.col("_n") * F.col("_n_b"))
-    common = F.col("_mask").bitwiseAND(F.col("_mask_b"))
-    ordered = sorted((i, b) for b, i in enumerate(hot))
-    item_pairs = [
-        F.when(
-            (F.col("_common").bitwiseAND(F.lit((1 << a) | (1 << b))) == (1 << a) | (1 << b)),
-            F.struct(F.lit(i).cast("bigint").alias("item_i"), F.lit(j).cast("bigint").alias("item_j")),
-        )
-        for (i, a), (j, b) in combinations(ordered, 2)
-    ]
-    return (
-        partners.join(others, "_mask_b")
-        .select(common.alias("_common"), user_pairs.cast("decimal(38,0)").alias("_n"))
-        .withColumn("_p", F.explode(F.array_compact(F.array(*item_pairs))))
-        .select("_p.item_i", "_p.item_j", "_n", to_units(F.lit(1.0) / (F.lit(alpha) + F.bit_count("_common"))).alias("_units"))
-    )
-
-
 def swing_pairs(
     baskets: DataFrame,
     alpha: float = 0.5,
     counting: str = "unordered",
     user_weight: str | None = None,
-    item_weight: DataFrame | None = None,
+    per_item: Sequence[str] = (),
     min_support: int = 1,
     block_size: int = BLOCK_SIZE,
-    hot_item_users: int = HOT_ITEM_USERS,
 ) -> DataFrame:
     """Swing score of every item pair with at least two shared users, as exact ``units``.
 
     ``counting='ordered'`` counts (u, v) and (v, u). ``user_weight='inverse_sqrt'``
     multiplies a contribution by ``1 / sqrt(items of u)`` and the same of v.
-    ``item_weight`` is an optional table (item, weight) that scales the result.
-    ``min_support`` keeps item pairs with that many shared users.
+    ``per_item`` names columns of ``baskets`` that depend on the item only; they
+    come out as ``<name>_i`` and ``<name>_j``. ``min_support`` keeps item pairs
+    with that many shared users (all items count for k, so none is left out before).
     Input is unique on (user, item).
     """
-    skew = measure_skew(baskets, hot_item_users)
     payload: tuple[str, ...] = ()
     if user_weight is not None:
         if user_weight != "inverse_sqrt":
             raise ValueError(f"unknown user weight: {user_weight}")
         weights = baskets.groupBy("user").agg((F.lit(1.0) / F.sqrt(F.count(F.lit(1)))).alias("_w"))
         baskets, payload = baskets.join(weights, "user"), ("_w",)
-        # Weighted contributions differ per user, so they cannot be taken from mask
-        # frequencies; with one popular item there are none of that kind.
-        if len(skew.hot_items) > 1:
-            skew = replace(skew, hot_items=skew.hot_items[:1], widest_item=None)
     strength = F.col("_w_a") * F.col("_w_b") if payload else F.lit(1.0)
-    term = {"_units": to_units(strength / (F.lit(alpha) + F.col("k")))}
-    if len(skew.hot_items) > 1:
-        term["_hot_units"] = to_units(F.lit(1.0) / (F.lit(alpha) + F.col("_hot")))
-    terms = linked_item_pairs(baskets, skew, payload, term, block_size)
-
+    terms = linked_item_pairs(baskets, payload, per_item, block_size)
+    terms = terms.withColumn("_units", to_units(strength / (F.lit(alpha) + F.col("k"))))
+    ends = [f"{c}_{x}" for c in per_item for x in "ij"]
+    sums = terms.groupBy("item_i", "item_j").agg(
+        exact_sum(F.col("_units")).alias("units"), F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in ends]
+    )
     # c shared users make c (c - 1) / 2 user pairs, so support needs no table of its own.
     enough = min_support * (min_support - 1) // 2
-    if len(skew.hot_items) < 2:
-        sums = terms.groupBy("item_i", "item_j").agg(exact_sum(F.col("_units")).alias("units"), F.count(F.lit(1)).alias("_n"))
-    else:
-        sums = _with_only_hot(terms, baskets, skew.hot_items, alpha)
     if enough > 1:
         sums = sums.where(F.col("_n") >= enough)
     times = 2 if counting == "ordered" else 1
-    sums = sums.select("item_i", "item_j", (F.col("units") * times).cast("decimal(38,0)").alias("units"))
-    return sums if item_weight is None else _scale(sums, item_weight)
-
-
-def _with_only_hot(terms: DataFrame, baskets: DataFrame, hot: Sequence[int], alpha: float) -> DataFrame:
-    wide = "decimal(38,0)"
-    one = F.lit(1).cast(wide)
-    counted = terms.select("item_i", "item_j", F.col("_units").cast(wide).alias("_units"), one.alias("_n"))
-    # User pairs found through other items are in the mask frequencies too: take those out again.
-    doubled = terms.where(F.col("item_i").isin(*hot) & F.col("item_j").isin(*hot)).select(
-        "item_i", "item_j", -F.col("_hot_units").cast(wide), -one
-    )
-    only = _only_hot(baskets, hot, alpha).select(
-        "item_i", "item_j", (F.col("_units").cast("decimal(18,0)") * F.col("_n")).cast(wide), F.col("_n").cast(wide)
-    )
-    every = stack(counted, doubled, only)
-    return every.groupBy("item_i", "item_j").agg(
-        F.sum("_units").cast(wide).alias("units"), F.sum("_n").cast(wide).alias("_n")
-    ).where(F.col("_n") > 0)
+    return sums.select("item_i", "item_j", (F.col("units") * times).cast("decimal(38,0)").alias("units"), *ends)
 
 
-def _scale(sums: DataFrame, item_weight: DataFrame) -> DataFrame:
-    one = F.lit(1.0)
-    wi = item_weight.select(F.col("item").alias("item_i"), F.col("weight").alias("_wi"))
-    wj = item_weight.select(F.col("item").alias("item_j"), F.col("weight").alias("_wj"))
-    scale = F.coalesce("_wi", one) * F.coalesce("_wj", one)
-    return (
-        sums.join(wi, "item_i", "left")
-        .join(wj, "item_j", "left")
-        .select("item_i", "item_j", F.round(F.col("units").cast("double") * scale).cast("decimal(38,0)").alias("units"))
-    )
+def scaled(sums: DataFrame, weight: str) -> DataFrame:
+    """Scores times the weights of both items, a ``per_item`` column of ``swing_pairs``; without one it is 1."""
+    scale = F.coalesce(f"{weight}_i", F.lit(1.0)) * F.coalesce(f"{weight}_j", F.lit(1.0))
+    units = F.round(F.col("units").cast("double") * scale).cast("decimal(38,0)")
+    return sums.select("item_i", "item_j", units.alias("units"))
 
 
 def both_directions(sums: DataFrame) -> DataFrame:
     return symmetric(sums, "units")
 
 
-def first_seen_direction(sums: DataFrame, interactions: DataFrame) -> DataFrame:
-    """List the later item under the earlier one only; an item's place is its first (ts, user, item)."""
-    first = interactions.groupBy("item").agg(F.min(F.struct("ts", "user", "item")).alias("_first"))
-    fi = first.select(F.col("item").alias("item_i"), F.col("_first").alias("_fi"))
-    fj = first.select(F.col("item").alias("item_j"), F.col("_first").alias("_fj"))
-    swap = F.col("_fj") < F.col("_fi")
-    return (
-        sums.join(fi, "item_i")
-        .join(fj, "item_j")
-        .select(
-            F.when(swap, F.col("item_j")).otherwise(F.col("item_i")).alias("item_i"),
-            F.when(swap, F.col("item_i")).otherwise(F.col("item_j")).alias("item_j"),
-            "units",
-        )
+def with_first_seen(interactions: DataFrame) -> DataFrame:
+    """``(user, item, first)``: the place of the item, its first (ts, user)."""
+    first = interactions.groupBy("item").agg(F.min(F.struct("ts", "user")).alias("first"))
+    return interactions.select("user", "item").join(first, "item")
+
+
+def first_seen_direction(sums: DataFrame) -> DataFrame:
+    """List the later item under the earlier one only; ``first`` is a ``per_item`` column, the lower id of equal ones is earlier."""
+    swap = F.col("first_j") < F.col("first_i")
+    return sums.select(
+        F.when(swap, F.col("item_j")).otherwise(F.col("item_i")).alias("item_i"),
+        F.when(swap, F.col("item_i")).otherwise(F.col("item_j")).alias("item_j"),
+        "units",
     )
 
 

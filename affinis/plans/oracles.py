@@ -15,6 +15,11 @@ rates AS (SELECT u, i, greatest(0e0, max(r)) AS r, min(ts) AS ts FROM raw GROUP
 DENSE = """rates AS (
   SELECT DISTINCT user_id AS u, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS i FROM events)"""
 
+EVENT_RATES = """rates AS (
+  SELECT u, i, greatest(0e0, max(r)) AS r, min(ts) AS ts FROM (
+    SELECT user_id AS u, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS i, value + 0e0 AS r, ts FROM events)
+  GROUP BY u, i)"""
+
 
 def _held(start: int, stop: int, cap: str = "") -> str:
     return f"""
@@ -49,26 +54,33 @@ def _top(name: str, sims: str, score: str, k: int, directed: bool = False) -> st
 
 def _cosine(t: str, product: str = "least(a.r, b.r)") -> str:
     return f"""
-weight AS (SELECT i, sum(r) AS w FROM {t} GROUP BY i),
+factor AS (SELECT i, 1e0 / sqrt(sum(r)) AS f FROM {t} GROUP BY i HAVING sum(r) > 0),
 sims AS (
-  SELECT p.i, p.j, o / sqrt(x.w * y.w) AS sim
-  FROM (SELECT a.i AS i, b.i AS j, sum({product}) AS o
-        FROM {t} a JOIN {t} b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i) p
-  JOIN weight x ON x.i = p.i JOIN weight y ON y.i = p.j
-  WHERE x.w > 0 AND y.w > 0)"""
+  SELECT a.i AS i, b.i AS j, CAST(sum(CAST(round({product} * (x.f * y.f) * 1e10) AS BIGINT)) AS DOUBLE) / 1e10 AS sim
+  FROM {t} a JOIN {t} b ON a.u = b.u AND a.i < b.i
+  JOIN factor x ON x.i = a.i JOIN factor y ON y.i = b.i GROUP BY a.i, b.i)"""
 
 
-def _pearson(t: str) -> str:
+def _sum(value: str) -> str:
+    return f"CAST(sum(CAST(round(({value}) * 1e10) AS BIGINT)) AS DOUBLE) / 1e10"
+
+
+def _moment(t: str) -> str:
     return f"""
+mean AS (SELECT i, count(*) AS n, {_sum('r')} AS total, {_sum('r * r')} AS squares, {_sum('r')} / count(*) AS m,
+                min(r) = max(r) AS flat FROM {t} GROUP BY i),
 moment AS (
-  SELECT i, total / n AS m, squares - total * total / n AS v
-  FROM (SELECT i, count(*) AS n, sum(r) AS total, sum(r * r) AS squares FROM {t} GROUP BY i)
-  WHERE n * squares <> total * total),
+  SELECT i, any_value(n) AS n, any_value(total) AS total, any_value(squares) AS squares, any_value(m) AS m,
+         CASE WHEN any_value(flat) THEN 0e0 ELSE {_sum('(r - m) * (r - m)')} END AS v
+  FROM {t} JOIN mean USING (i) GROUP BY i)"""
+
+
+def _pearson(t: str) -> str:
+    return f"""{_moment(t)},
+centred AS (SELECT u, i, (r - m) / sqrt(v) AS z FROM {t} JOIN moment USING (i) WHERE v > 0),
 sims AS (
-  SELECT p.i, p.j, (sij - y.m * si - x.m * sj + n * x.m * y.m) / sqrt(x.v * y.v) AS sim
-  FROM (SELECT a.i AS i, b.i AS j, count(*) AS n, sum(a.r) AS si, sum(b.r) AS sj, sum(a.r * b.r) AS sij
-        FROM {t} a JOIN {t} b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i) p
-  JOIN moment x ON x.i = p.i JOIN moment y ON y.i = p.j)"""
+  SELECT a.i AS i, b.i AS j, {_sum('a.z * b.z')} AS sim
+  FROM centred a JOIN centred b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i)"""
 
 
 def _swing(t: str, alpha: str = "5e-1", weighted: bool = False, having: str = "") -> str:
@@ -230,16 +242,15 @@ FROM rates a JOIN rates b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i, a.u // 4
     "swing_quadruples": f"""WITH {RATES},{_swing('rates')}
 SELECT i AS item_i, j AS item_j, u AS user_u, v AS user_v, k FROM quad""",
     "itemcf_item_weight": f"WITH {RATES} SELECT i AS item, sum(r) AS weight FROM rates GROUP BY i",
-    "itemcf_item_moments": f"""WITH {RATES}
-SELECT item, n, total, squares, round(total / n, 6) AS mean,
-       round(CASE WHEN n * squares = total * total THEN 0e0 ELSE squares - total * total / n END, 6) AS deviation
-FROM (SELECT i AS item, count(*) AS n, sum(r) AS total, sum(r * r) AS squares FROM rates GROUP BY i)""",
+    "itemcf_item_moments": f"""WITH {RATES},{_moment('rates')}
+SELECT i AS item, n, total, squares, round(m, 6) AS mean, round(v, 6) AS deviation FROM moment""",
     "itemcf_overlap": f"""WITH {RATES}
 SELECT a.i AS item_i, b.i AS item_j, sum(least(a.r, b.r)) AS overlap
 FROM rates a JOIN rates b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i""",
     "itemcf_cosine_topk": f"WITH {RATES},{_cosine('rates')},{COSINE_TOP} {FROM_SIM}",
     "itemcf_rawproduct_topk": f"WITH {RATES},{_cosine('rates', 'a.r * b.r')},{COSINE_TOP} {FROM_SIM}",
     "itemcf_pearson_topk": f"WITH {RATES},{_pearson('rates')},{COSINE_TOP} {FROM_SIM}",
+    "itemcf_pearson_events_topk": f"WITH {EVENT_RATES},{_pearson('rates')},{COSINE_TOP} {FROM_SIM}",
     "swing_pairs": f"WITH {RATES},{_swing('rates')} {SIMS_ONLY}",
     "swing_min_support": f"""WITH {RATES},{_swing('rates', having='HAVING count(DISTINCT u) + count(DISTINCT v) > 0')},
 support AS (SELECT a.i AS i, b.i AS j FROM rates a JOIN rates b ON a.u = b.u AND a.i < b.i

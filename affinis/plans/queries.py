@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from affinis.functions.fixedpoint import from_units
 from affinis.operators import evaluate as ev
-from affinis.operators import itemcf, long_histories, prepare, splits, swing, topk, walk
+from affinis.operators import itemcf, prepare, splits, swing, topk, walk
 from affinis.operators.recommend import RECOMMENDATIONS, recommend
 from affinis.session import materialize, new_path
 from affinis.sources import dimensions, interactions, model_store
@@ -139,17 +139,22 @@ def itemcf_overlap(spark, folder):
 
 
 def _cosine_model(rates: DataFrame) -> DataFrame:
-    return long_histories.cosine_neighbours(rates)
+    return itemcf.neighbours(itemcf.cosine(rates))
 
 
 def _product_model(rates: DataFrame) -> DataFrame:
-    return long_histories.raw_product_neighbours(rates)
+    return itemcf.neighbours(itemcf.raw_product(rates))
 
 
 def _pearson_model(rates: DataFrame) -> DataFrame:
     return itemcf.neighbours(itemcf.pearson(rates))
 
 
+def itemcf_pearson_events_topk(spark, folder):
+    """Pearson on rates that are not whole numbers."""
+    return _shown(_pearson_model(materialize(prepare.max_rate(interactions.event_interactions(spark, folder)), "rates")))
+
+
 def _swing_model(rates: DataFrame) -> DataFrame:
     return swing.neighbours(swing.both_directions(swing.swing_pairs(rates.select("user", "item"))))
 
@@ -187,9 +192,8 @@ def swing_neighbor_list(spark, folder):
 
 
 def swing_firstseen_topk(spark, folder):
-    rates = _rates(spark, folder)
-    sums = swing.swing_pairs(rates.select("user", "item"))
-    return swing.neighbours(swing.first_seen_direction(sums, rates))
+    placed = materialize(swing.with_first_seen(_rates(spark, folder)), "first-seen")
+    return swing.neighbours(swing.first_seen_direction(swing.swing_pairs(placed, per_item=("first",))))
 
 
 def swing_weighted_topk(spark, folder):
@@ -201,8 +205,9 @@ def swing_item_weighted_topk(spark, folder):
     """Item weight: one over the square root of the item's users."""
     baskets = _baskets(spark, folder)
     weight = baskets.groupBy("item").agg((F.lit(1.0) / F.sqrt(F.count(F.lit(1)))).alias("weight"))
-    sums = swing.swing_pairs(baskets, item_weight=weight)
-    return swing.neighbours(swing.both_directions(sums))
+    weighted = materialize(baskets.join(weight, "item"), "weighted")
+    sums = swing.swing_pairs(weighted, per_item=("weight",))
+    return swing.neighbours(swing.both_directions(swing.scaled(sums, "weight")))
 
 
 def swing_dense_topk(spark, folder):
@@ -351,6 +356,7 @@ QUERIES: dict[str, Query] = {
     "itemcf_cosine_topk": _topk(_cosine_model),
     "itemcf_rawproduct_topk": _topk(_product_model),
     "itemcf_pearson_topk": _topk(_pearson_model),
+    "itemcf_pearson_events_topk": itemcf_pearson_events_topk,
     "swing_pairs": swing_pairs,
     "swing_min_support": swing_min_support,
     "swing_topk": lambda spark, folder: _swing_model(_rates(spark, folder)),
