@@ -246,10 +246,14 @@ def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of a key in different components whose profiles leave a link possible.
 
     Rows come in order of key and block pair; one such group is held at a time.
+    A pair comes out at the smallest key at which its nodes can meet, so it is there once.
     """
 
-    def pairs(rows: list[tuple]) -> pa.RecordBatch:
-        node, root, own, block, size, profile = (list(c) for c in zip(*rows))
+    def least_shared(mine: dict[int, bool], keys: list[dict]) -> int:
+        return next(k["key"] for k in keys if k["key"] in mine and (k["own"] or mine[k["key"]]))
+
+    def pairs(key: int, rows: list[tuple]) -> pa.RecordBatch:
+        node, root, own, block, size, profile, keys = (list(c) for c in zip(*rows))
         node, root, own, block, size = (np.array(c) for c in (node, root, own, block, size))
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         if (root != root[0]).any():
@@ -264,6 +268,8 @@ def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = np.flatnonzero(use) + i + 1
                 if len(at):
                     at = at[np.abs(parts[at] - parts[i]).sum(axis=1, dtype=np.int32) <= allowed(size[at] + size[i])]
+                    mine = {k["key"]: k["own"] for k in keys[i]}
+                    at = np.array([j for j in at if least_shared(mine, keys[j]) == key], np.int64)
                     a.append(np.minimum(node[at], node[i]))
                     b.append(np.maximum(node[at], node[i]))
         arrays = [pa.array(np.concatenate(c), pa.int64()) for c in (a, b)]
@@ -271,15 +277,15 @@ def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     current, rows = None, []
     for batch in batches:
-        columns = ("key", "_low", "_high", "node", "root", "own", "_block", "n", "profile")
+        columns = ("key", "_low", "_high", "node", "root", "own", "_block", "n", "profile", "keys")
         for key, low, high, *row in zip(*(batch.column(c).to_pylist() for c in columns)):
             if (key, low, high) != current:
                 if len(rows) > 1:
-                    yield pairs(rows)
+                    yield pairs(current[0], rows)
                 current, rows = (key, low, high), []
             rows.append(tuple(row))
     if len(rows) > 1:
-        yield pairs(rows)
+        yield pairs(current[0], rows)
 
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,9 +354,11 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     # the head has met all members; keys with two other components or more are still open
     others = marked.groupBy("key").agg((F.min("root") != F.max("root")).alias("several"))
     members = marked.join(others.where("several").select("key"), "key", "left_semi").select("key", "node", "root", "own")
-    members = spread(members.join(profiles, "node"), ["key"], "node", GROUP)
+    members = materialize(members, "open")
+    keys = members.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("key", "own"))).alias("keys"))
+    members = spread(members.join(profiles, "node").join(keys, "node"), ["key"], "node", GROUP)
     members = members.repartition(n, "key", "_low", "_high").sortWithinPartitions("key", "_low", "_high")
-    more = similar(members.mapInArrow(_apart, PAIRS).distinct())
+    more = similar(members.mapInArrow(_apart, PAIRS))
     if not more.isEmpty():
         roots = components(links.union(more))
 
