@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from affinis.operators.walk import DIGITS, MAX_STEPS
-from affinis.plans.queries import FINE_DIGITS, FINE_STEPS, FOLDS, MAX_TEST, WALK_STEPS
+from affinis.plans.queries import FOLDS, MAX_TEST
+
+#: 0.8^94 is the first even power of 0.8 below 1e-9.
+MOVES = 94
 
 RAW = """raw AS (
   SELECT o_custkey AS u, l_partkey AS i, l_quantity AS r, o_orderdate AS ts
@@ -141,47 +143,46 @@ degree AS (SELECT src AS v, count(*) AS deg FROM edge GROUP BY src)"""
 TRANSITION = f"{EDGES},{DEGREE},\ntransition AS (SELECT src, dst, 1e0 / deg AS w FROM edge JOIN degree ON v = src)"
 
 
-def _walk(t: str, steps: int, digits: int) -> str:
-    """A chain of ``steps`` moves with all users of ``t`` as seeds; state tables s0, s1, ...
+def _walk(t: str, seed: str, start: str) -> str:
+    """The walk by its definition, one move at a time, from all ``seed`` of ``t``; state tables s0, s1, ...
 
-    Vertex numbers: item i is i, user u is -1 - u.
+    Vertex numbers: item i is i, user u is -1 - u. x has settled, w waits.
     """
-    one = 10**digits
-    restart = one - round(0.8 * one)
     parts = [
         f"""
 link AS (SELECT DISTINCT -1 - u AS src, i AS dst FROM {t} UNION ALL SELECT DISTINCT i, -1 - u FROM {t}),
 degree AS (SELECT src AS v, count(*) AS deg FROM link GROUP BY src)""",
-        f"s0 AS (SELECT DISTINCT u AS seed, -1 - u AS v, CAST({one} AS BIGINT) AS r FROM {t})",
+        f"s0 AS (SELECT DISTINCT {seed} AS seed, {start} AS v, 0e0 AS x, 1e0 AS w FROM {t})",
     ]
-    for n in range(1, steps + 1):
+    for n in range(1, MOVES + 1):
         parts.append(
             f"""s{n} AS MATERIALIZED (
-  SELECT seed, v, CAST(sum(r) AS BIGINT) AS r FROM (
-    SELECT seed, dst AS v, share AS r FROM (
-      SELECT seed, v, q + CASE WHEN 2 * m > d OR (2 * m = d AND q % 2 = 1) THEN 1 ELSE 0 END AS share FROM (
-        SELECT seed, v, (r * 8000) // (10000 * deg) AS q, (r * 8000) % (10000 * deg) AS m, 10000 * deg AS d
-        FROM s{n - 1} JOIN degree USING (v))) JOIN link ON src = v WHERE share > 0
-    UNION ALL SELECT seed, v, {restart} FROM s0) GROUP BY seed, v)"""
+  SELECT seed, v, sum(x) AS x, sum(w) AS w FROM (
+    SELECT seed, v, x + 2e-1 * w AS x, 0e0 AS w FROM s{n - 1}
+    UNION ALL SELECT seed, dst, 0e0, 8e-1 * w / deg FROM s{n - 1} JOIN degree USING (v) JOIN link ON src = v WHERE w > 0)
+  GROUP BY seed, v)"""
         )
     return ",\n".join(parts)
 
 
-def _ranks(steps: int, digits: int) -> str:
-    vertex = "CASE WHEN v < 0 THEN 'u:' || (-1 - v) ELSE 'i:' || v END"
-    return f"SELECT seed, {vertex} AS vertex, r / 1e{digits} AS rank FROM s{steps}"
+ITEM_WALK = _walk("rates", "i", "i")
+LAST = f"s{MOVES}"
+VERTEX = "CASE WHEN v < 0 THEN 'u:' || (-1 - v) ELSE 'i:' || v END"
 
 
 def _walk_recs(t: str) -> str:
-    return f"""
+    return f"""{_walk(t, 'u', '-1 - u')},
 recs AS (
   SELECT u, i, r, CAST(n AS INTEGER) AS n FROM (
-    SELECT *, row_number() OVER (PARTITION BY u ORDER BY r DESC, i) AS n FROM (
-      SELECT seed AS u, v AS i, r FROM s{FINE_STEPS} WHERE v >= 0) w
+    SELECT *, row_number() OVER (PARTITION BY u ORDER BY round(r, 9) DESC, i) AS n FROM (
+      SELECT seed AS u, v AS i, x AS r FROM {LAST} WHERE v >= 0) w
     WHERE NOT EXISTS (SELECT 1 FROM {t} h WHERE h.u = w.u AND h.i = w.i))
   WHERE n <= 100)"""
 
 
+SHOW_WALK_RECS = 'SELECT u AS "user", i AS item, round(r, 6) AS score, n AS rank FROM recs'
+
+
 def _evaluated(model: str, top: str, sim: str) -> str:
     return f"WITH {RATES},{TRAIN_TEST},{model},{top},{_recs('train', sim)},{COUNTS}"
 
@@ -304,17 +305,21 @@ UNION ALL SELECT v, v, 1e0 FROM degree""",
 vertex AS (SELECT DISTINCT 0 AS kind, u AS id FROM rates UNION ALL SELECT DISTINCT 1, i FROM rates)
 SELECT CASE kind WHEN 0 THEN 'u:' ELSE 'i:' END || id AS vertex,
        row_number() OVER (ORDER BY kind, id) - 1 AS idx FROM vertex""",
-    "ppr_iterate": f"WITH {RATES},{_walk('rates', WALK_STEPS, DIGITS)} {_ranks(WALK_STEPS, DIGITS)}",
-    "ppr_converged": f"WITH {RATES},{_walk('rates', MAX_STEPS, DIGITS)} {_ranks(MAX_STEPS, DIGITS)}",
-    "ppr_dense_converged": f"WITH {DENSE},{_walk('rates', MAX_STEPS, FINE_DIGITS)} {_ranks(MAX_STEPS, FINE_DIGITS)}",
-    "ppr_residual": f"""WITH {DENSE},{_walk('rates', MAX_STEPS, FINE_DIGITS)},
-entry AS (
-  SELECT seed, v, r / 1e{FINE_DIGITS} AS x FROM s{MAX_STEPS}
-  UNION ALL SELECT seed, dst, -8e-1 * r / 1e{FINE_DIGITS} / deg FROM s{MAX_STEPS} JOIN degree USING (v) JOIN link ON src = v
+    "ppr_iterate": f"""WITH {DENSE},{ITEM_WALK}
+SELECT seed, round(sum(x), 8) AS settled, round(sum(w), 8) AS waiting FROM {LAST} GROUP BY seed""",
+    "ppr_converged": f"""WITH {DENSE},{ITEM_WALK},
+named AS (SELECT seed, {VERTEX} AS vertex, x AS score FROM {LAST})
+SELECT seed, vertex, round(score, 6) AS score, CAST(n AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY round(score, 9) DESC, vertex) AS n FROM named) WHERE n <= 100""",
+    "ppr_dense_converged": f"""WITH {DENSE},{_walk('rates', 'u', '-1 - u')}
+SELECT seed AS "user", v AS item, round(x, 6) AS rank FROM {LAST} WHERE v >= 0""",
+    "ppr_residual": f"""WITH {DENSE},{ITEM_WALK},
+part AS (
+  SELECT seed, v, x FROM {LAST}
+  UNION ALL SELECT seed, dst, -8e-1 * x / deg FROM {LAST} JOIN degree USING (v) JOIN link ON src = v
   UNION ALL SELECT seed, v, -2e-1 FROM s0)
-SELECT seed, round(max(abs(x)), 8) AS residual FROM (SELECT seed, v, sum(x) AS x FROM entry GROUP BY seed, v) GROUP BY seed""",
-    "ppr_recommend_topn": f"""WITH {RATES},{_walk('rates', FINE_STEPS, FINE_DIGITS)},{_walk_recs('rates')}
-SELECT u AS "user", i AS item, r / 1e{FINE_DIGITS} AS score, n AS rank FROM recs""",
-    "eval_ppr": f"""WITH {RATES},{TRAIN_TEST},{_walk('train', FINE_STEPS, FINE_DIGITS)},{_walk_recs('train')},{COUNTS}
-{ALL_METRICS}""",
+SELECT seed, round(max(abs(r)), 8) AS residual FROM (SELECT seed, v, sum(x) AS r FROM part GROUP BY seed, v) GROUP BY seed""",
+    "ppr_recommend_topn": f"WITH {DENSE},{_walk_recs('rates')} {SHOW_WALK_RECS}",
+    "recommendations_roundtrip": f"WITH {DENSE},{_walk_recs('rates')} {SHOW_WALK_RECS}",
+    "eval_ppr": f"WITH {EVENT_RATES},{TRAIN_TEST},{_walk_recs('train')},{COUNTS} {ALL_METRICS}",
 }

@@ -16,9 +16,6 @@ from affinis.sources import dimensions, interactions, model_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-WALK_STEPS = 6
-FINE_STEPS = 4
-FINE_DIGITS = 6
 FOLDS = 5
 MAX_TEST = 1000
 
@@ -294,40 +291,55 @@ def ppr_vertex_index(spark, folder):
     return walk.vertex_index(_baskets(spark, folder))
 
 
-def _walk_all(baskets: DataFrame, **settings) -> DataFrame:
-    return walk.walk(materialize(walk.all_seeds(baskets), "seeds"), walk.adjacency(baskets), **settings)
+def _event_baskets(spark, folder):
+    return materialize(prepare.distinct_interactions(interactions.event_interactions(spark, folder)), "dense")
 
 
 def ppr_iterate(spark, folder):
-    return walk.ranks(_walk_all(_baskets(spark, folder), steps=WALK_STEPS, stop_early=False))
+    """Mass of every item's walk: what has settled and what still waits."""
+    baskets = _event_baskets(spark, folder)
+    return _shown(_shown(walk.mass(walk.item_walks(baskets), baskets), "settled", 8), "waiting", 8)
 
 
 def ppr_converged(spark, folder):
-    return walk.ranks(_walk_all(_baskets(spark, folder)))
+    """The 100 vertices of highest rank in every item's walk."""
+    baskets = _event_baskets(spark, folder)
+    ranked = walk.ranks(walk.item_walks(baskets), baskets).withColumnRenamed("rank", "score")
+    ranked = ranked.withColumn("_place", F.round("score", 9))
+    best = topk.top_k(ranked, "seed", topk.best_first("_place", "vertex"), RECOMMENDATIONS)
+    return _shown(best.select("seed", "vertex", "score", "rank"), "score")
 
 
 def ppr_dense_converged(spark, folder):
-    state = _walk_all(_dense(spark, folder), digits=FINE_DIGITS)
-    return walk.ranks(state, FINE_DIGITS)
+    """Ranks of items in every user's walk."""
+    baskets = _event_baskets(spark, folder)
+    return _shown(walk.walks_of_users(walk.item_walks(baskets), baskets), "rank")
 
 
 def ppr_residual(spark, folder):
-    baskets = _dense(spark, folder)
-    seeds, links = materialize(walk.all_seeds(baskets), "seeds"), walk.adjacency(baskets)
-    state = materialize(walk.walk(seeds, links, digits=FINE_DIGITS), "walk")
-    return _shown(walk.residual(state, links, seeds, digits=FINE_DIGITS), "residual", 8)
+    baskets = _event_baskets(spark, folder)
+    return _shown(walk.residual(walk.item_walks(baskets), baskets), "residual", 8)
+
+
+def _walk_recommendations(baskets: DataFrame) -> DataFrame:
+    return walk.recommend_from_walk(walk.walks_of_users(walk.item_walks(baskets), baskets), baskets, RECOMMENDATIONS)
 
 
 def ppr_recommend_topn(spark, folder):
-    baskets = _baskets(spark, folder)
-    state = _walk_all(baskets, steps=FINE_STEPS, digits=FINE_DIGITS, stop_early=False)
-    return walk.recommend_from_walk(state, baskets, RECOMMENDATIONS, FINE_DIGITS)
+    return _shown(_walk_recommendations(_event_baskets(spark, folder)), "score")
+
+
+def recommendations_roundtrip(spark, folder):
+    """Recommendations written to the store and read again."""
+    path = new_path(spark, "recommendations")
+    model_store.save_table(_walk_recommendations(_event_baskets(spark, folder)), path, "user")
+    return _shown(spark.read.parquet(path), "score")
 
 
 def eval_ppr(spark, folder):
-    train, test = splits.train_test(_rates(spark, folder), 1, 10)
-    state = _walk_all(train, steps=FINE_STEPS, digits=FINE_DIGITS, stop_early=False)
-    recs = materialize(walk.recommend_from_walk(state, train, RECOMMENDATIONS, FINE_DIGITS), "recs")
+    rates = materialize(prepare.max_rate(interactions.event_interactions(spark, folder)), "rates")
+    train, test = splits.train_test(rates, 1, 10)
+    recs = materialize(_walk_recommendations(train.select("user", "item")), "recs")
     return ev.evaluate(recs, train, test, RECOMMENDATIONS)
 
 
@@ -389,5 +401,6 @@ QUERIES: dict[str, Query] = {
     "ppr_dense_converged": ppr_dense_converged,
     "ppr_residual": ppr_residual,
     "ppr_recommend_topn": ppr_recommend_topn,
+    "recommendations_roundtrip": recommendations_roundtrip,
     "eval_ppr": eval_ppr,
 }
