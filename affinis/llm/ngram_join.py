@@ -249,8 +249,9 @@ def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     A pair comes out at the smallest key at which its nodes can meet, so it is there once.
     """
 
-    def least_shared(mine: dict[int, bool], keys: list[dict]) -> int:
-        return next(k["key"] for k in keys if k["key"] in mine and (k["own"] or mine[k["key"]]))
+    def least_shared(mine: np.ndarray, keys: np.ndarray) -> int:
+        shared, i, j = np.intersect1d(mine >> 1, keys >> 1, assume_unique=True, return_indices=True)
+        return shared[((mine[i] | keys[j]) & 1) == 1][0]
 
     def pairs(key: int, rows: list[tuple]) -> pa.RecordBatch:
         node, root, own, block, size, profile, keys = (list(c) for c in zip(*rows))
@@ -268,8 +269,7 @@ def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = np.flatnonzero(use) + i + 1
                 if len(at):
                     at = at[np.abs(parts[at] - parts[i]).sum(axis=1, dtype=np.int32) <= allowed(size[at] + size[i])]
-                    mine = {k["key"]: k["own"] for k in keys[i]}
-                    at = np.array([j for j in at if least_shared(mine, keys[j]) == key], np.int64)
+                    at = np.array([j for j in at if least_shared(keys[i], keys[j]) == key], np.int64)
                     a.append(np.minimum(node[at], node[i]))
                     b.append(np.maximum(node[at], node[i]))
         arrays = [pa.array(np.concatenate(c), pa.int64()) for c in (a, b)]
@@ -277,13 +277,14 @@ def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     current, rows = None, []
     for batch in batches:
-        columns = ("key", "_low", "_high", "node", "root", "own", "_block", "n", "profile", "keys")
-        for key, low, high, *row in zip(*(batch.column(c).to_pylist() for c in columns)):
+        columns = ("key", "_low", "_high", "node", "root", "own", "_block", "n")
+        profiles, lists = batch.column("profile"), batch.column("keys")
+        for i, (key, low, high, *row) in enumerate(zip(*(batch.column(c).to_pylist() for c in columns))):
             if (key, low, high) != current:
                 if len(rows) > 1:
                     yield pairs(current[0], rows)
                 current, rows = (key, low, high), []
-            rows.append(tuple(row))
+            rows.append((*row, profiles[i].as_py(), np.array(lists[i].values, np.int64)))
     if len(rows) > 1:
         yield pairs(current[0], rows)
 
@@ -355,7 +356,8 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     others = marked.groupBy("key").agg((F.min("root") != F.max("root")).alias("several"))
     members = marked.join(others.where("several").select("key"), "key", "left_semi").select("key", "node", "root", "own")
     members = materialize(members, "open")
-    keys = members.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("key", "own"))).alias("keys"))
+    code = F.col("key") * 2 + F.col("own").cast("bigint")
+    keys = members.groupBy("node").agg(F.array_sort(F.collect_list(code)).alias("keys"))
     members = spread(members.join(profiles, "node").join(keys, "node"), ["key"], "node", GROUP)
     members = members.repartition(n, "key", "_low", "_high").sortWithinPartitions("key", "_low", "_high")
     more = similar(members.mapInArrow(_apart, PAIRS))
