@@ -77,7 +77,7 @@ def item_users_index(spark, folder):
 
 
 def dataset_profile(spark, folder):
-    return prepare.dataset_profile(prepare.distinct_interactions(_orders(spark, folder)))
+    return prepare.dataset_profile(materialize(prepare.distinct_interactions(_orders(spark, folder)), "distinct"))
 
 
 def dim_scan(spark, folder):
@@ -228,7 +228,7 @@ def sim_model_map(spark, folder):
 
 def sim_model_roundtrip(spark, folder):
     rates = _rates(spark, folder)
-    stored = model_store.compute_or_load(rates, {"model": "cosine", "k": 20}, _cosine_model)
+    stored = model_store.compute_or_load(rates, "cosine", 2, {"k": 20}, _cosine_model, new_path(spark, "models"))
     path = new_path(spark, "model-json")
     model_store.save_map_json(stored, path)
     return _shown(model_store.load_map_json(spark, path))

@@ -2,45 +2,58 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dir: str | None = None
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or else the session's warehouse folder."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return configured.rstrip("/")
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Spark's own file system of a path, and the path as it wants it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
-    A local-mode session may leave the setting out (tests, laptops) and gets a
-    scratch folder. On a cluster a machine-local folder would lose data with
-    the machine, so a missing setting is an error there.
-    """
-    global _local_dir
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="affinis-")
-    return _local_dir
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def job_dir(spark: SparkSession) -> str:
+    """The folder of this application's tables; it goes when the application ends."""
+    path = f"{shared_dir(spark)}/affinis-{spark.sparkContext.applicationId}"
+    files, where = _file_system(spark, path)
+    if not files.exists(where):
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+    return path
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/affinis/{label}-{uuid.uuid4().hex}"
+    return f"{job_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+def materialize(df: DataFrame, label: str = "table", instead_of: DataFrame | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Unlike cached blocks the table survives lost executors, is read back with
     column pruning, and gives the planner true sizes for join selection.
+    ``instead_of`` is a written table that nobody needs once this one is there.
     """
-    path = new_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = new_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._affinis_path = path
+    if instead_of is not None and hasattr(instead_of, "_affinis_path"):
+        files, where = _file_system(spark, instead_of._affinis_path)
+        files.delete(where, True)
+    return out
 
 
 def stack(first: DataFrame, *others: DataFrame) -> DataFrame:

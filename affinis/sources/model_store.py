@@ -12,12 +12,11 @@ import json
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.operators.topk import ranked_map
-from affinis.session import shared_dir
+from affinis.session import exists, shared_dir
 
 MODEL_SCHEMA = "item_i BIGINT, item_j BIGINT, sim DOUBLE, rank INT"
 
@@ -72,18 +71,23 @@ def load_single_key_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compute_or_load(
-    rows: DataFrame, params: dict[str, Any], build: Callable[[DataFrame], DataFrame], root: str | None = None
+    rows: DataFrame,
+    model: str,
+    version: int,
+    params: dict[str, Any],
+    build: Callable[[DataFrame], DataFrame],
+    root: str | None = None,
 ) -> DataFrame:
-    """The stored model for exactly these rows and parameters, built and stored if there is none.
+    """The stored model for exactly these rows, name, version and parameters, built and stored if there is none.
 
-    A small marker table is written after the model, so a half-written model
-    (a driver lost midway) is never taken for a finished one.
+    Raise ``version`` with every change of ``build``. A small marker table is
+    written after the model, so a half-written model (a driver lost midway) is
+    never taken for a finished one; one that cannot be read is an error.
     """
     spark = rows.sparkSession
-    base = f"{root or shared_dir(spark)}/models/{fingerprint(rows, params)}"
-    try:
-        spark.read.schema("rows BIGINT").parquet(f"{base}/done").first()
-    except AnalysisException:
+    key = fingerprint(rows, {"model": model, "version": version, "params": params})
+    base = f"{root or shared_dir(spark)}/models/{key}"
+    if not exists(spark, f"{base}/done/_SUCCESS"):
         save_table(build(rows), f"{base}/model", "item_i")
         stored = spark.read.schema(MODEL_SCHEMA).parquet(f"{base}/model")
         stored.agg(F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{base}/done")

@@ -1,3 +1,4 @@
+import random
 from itertools import combinations
 from math import sqrt
 
@@ -93,3 +94,30 @@ def test_index_segments_and_profile(spark):
         assert [u for s in sorted(segments) for u in segments[s]] == sorted(u for u, i in rates if i == item)
     profile = prepare.dataset_profile(frame).first()
     assert tuple(profile) == (len(rates), len({u for u, _ in rates}), len({i for _, i in rates}))
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.7, 4.7])
+def test_equal_rates_have_no_deviation(spark, rate):
+    rows = {(u, 1): rate for u in range(5)} | {(u, 2): 0.3 * u for u in range(5)} | {(u, 3): 1.1 * u * u for u in range(5)}
+    frame = rates_frame(spark, rows)
+    deviation = {r.item: r.deviation for r in itemcf.item_moments(frame).collect()}
+    assert deviation[1] == 0.0 and deviation[2] > 0
+    assert {(r.item_i, r.item_j) for r in itemcf.pearson(frame).collect()} == {(2, 3)}
+
+
+def test_pearson_of_fractional_rates_at_any_partitioning(spark, partitions):
+    rng, seen = random.Random(9), []
+    rows = {(u, i): rng.random() * 5 for u in range(30) for i in range(12) if rng.random() < 0.6}
+    for n in (1, 4, 37):
+        partitions(n)
+        seen.append({(r.item_i, r.item_j): r.sim for r in itemcf.pearson(rates_frame(spark, rows).repartition(n)).collect()})
+    assert seen[0] == seen[1] == seen[2]
+    by_item = {}
+    for (u, i), r in rows.items():
+        by_item.setdefault(i, {})[u] = r
+    mean = {i: sum(v.values()) / len(v) for i, v in by_item.items()}
+    dev = {i: sum((r - mean[i]) ** 2 for r in v.values()) for i, v in by_item.items()}
+    for (i, j), sim in seen[0].items():
+        both = by_item[i].keys() & by_item[j].keys()
+        want = sum((by_item[i][u] - mean[i]) * (by_item[j][u] - mean[j]) for u in both) / (dev[i] * dev[j]) ** 0.5
+        assert abs(sim - want) < 1e-7

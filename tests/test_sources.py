@@ -58,21 +58,26 @@ def test_model_is_built_once_per_input_and_parameters(spark, model, tmp_path):
         built.append(1)
         return rows
 
-    for params in ({"k": 1}, {"k": 1}, {"k": 2}):
-        got = model_store.compute_or_load(model, params, build, str(tmp_path))
+    for version, params in ((1, {"k": 1}), (1, {"k": 1}), (1, {"k": 2}), (2, {"k": 2})):
+        got = model_store.compute_or_load(model, "test", version, params, build, str(tmp_path))
         assert sorted(map(tuple, got.collect())) == sorted(MODEL)
-    model_store.compute_or_load(model.where("rank = 1"), {"k": 1}, build, str(tmp_path))
-    assert len(built) == 3
+    model_store.compute_or_load(model.where("rank = 1"), "test", 1, {"k": 1}, build, str(tmp_path))
+    model_store.compute_or_load(model, "other", 1, {"k": 1}, build, str(tmp_path))
+    assert len(built) == 5
 
 
-def test_shared_folder_comes_from_the_session(spark):
+def test_tables_are_in_the_shared_folder_and_go_when_replaced(spark):
     folder = Path(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
     assert session.shared_dir(spark) == str(folder)
-    assert session.materialize(spark.range(5), "five").count() == 5
-    assert any(path.name.startswith("five-") for path in (folder / "affinis").iterdir())
-
-
-def test_a_cluster_without_shared_folder_is_refused():
-    unset = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="yarn"))
-    with pytest.raises(ValueError):
-        session.shared_dir(unset)
+    first = session.materialize(spark.range(5), "five")
+    assert first.count() == 5
+    mine = Path(session.job_dir(spark))
+    assert mine.parent == folder and any(path.name.startswith("five-") for path in mine.iterdir())
+    before = len(list(mine.iterdir()))
+    second = session.materialize(first, "six", instead_of=first)
+    assert second.count() == 5 and len(list(mine.iterdir())) == before
+
+
+def test_without_a_shared_folder_the_warehouse_is_used():
+    unset = SimpleNamespace(conf={"spark.sql.warehouse.dir": "hdfs://somewhere/warehouse"})
+    assert session.shared_dir(unset) == "hdfs://somewhere/warehouse"
