@@ -54,6 +54,8 @@ CROWDED = 200.0
 BLOCK_DOCS = 30_000
 #: Members of a key that are compared in one go; a larger group is cut into pairs of blocks.
 GROUP = 2048
+#: Keys of a node that are sent along so that a pair comes out about once.
+SKETCH = 8
 CLASSES = "doc_id bigint, n_shingles bigint, node bigint, profile binary"
 PAIRS = "a bigint, b bigint"
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -246,12 +248,14 @@ def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of a key in different components whose profiles leave a link possible.
 
     Rows come in order of key and block pair; one such group is held at a time.
-    A pair comes out at the smallest key at which its nodes can meet, so it is there once.
+    Each row has the smallest keys of its node; if two nodes share one of these,
+    the pair comes out at the smallest such key only, otherwise at every key.
     """
 
-    def least_shared(mine: np.ndarray, keys: np.ndarray) -> int:
+    def is_place(key: int, mine: np.ndarray, keys: np.ndarray) -> bool:
         shared, i, j = np.intersect1d(mine >> 1, keys >> 1, assume_unique=True, return_indices=True)
-        return shared[((mine[i] | keys[j]) & 1) == 1][0]
+        shared = shared[((mine[i] | keys[j]) & 1) == 1]
+        return not len(shared) or shared[0] == key
 
     def pairs(key: int, rows: list[tuple]) -> pa.RecordBatch:
         node, root, own, block, size, profile, keys = (list(c) for c in zip(*rows))
@@ -269,7 +273,7 @@ def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = np.flatnonzero(use) + i + 1
                 if len(at):
                     at = at[np.abs(parts[at] - parts[i]).sum(axis=1, dtype=np.int32) <= allowed(size[at] + size[i])]
-                    at = np.array([j for j in at if least_shared(keys[i], keys[j]) == key], np.int64)
+                    at = np.array([j for j in at if is_place(key, keys[i], keys[j])], np.int64)
                     a.append(np.minimum(node[at], node[i]))
                     b.append(np.maximum(node[at], node[i]))
         arrays = [pa.array(np.concatenate(c), pa.int64()) for c in (a, b)]
@@ -357,10 +361,10 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     members = marked.join(others.where("several").select("key"), "key", "left_semi").select("key", "node", "root", "own")
     members = materialize(members, "open")
     code = F.col("key") * 2 + F.col("own").cast("bigint")
-    keys = members.groupBy("node").agg(F.array_sort(F.collect_list(code)).alias("keys"))
+    keys = members.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(code)), 1, SKETCH).alias("keys"))
     members = spread(members.join(profiles, "node").join(keys, "node"), ["key"], "node", GROUP)
     members = members.repartition(n, "key", "_low", "_high").sortWithinPartitions("key", "_low", "_high")
-    more = similar(members.mapInArrow(_apart, PAIRS))
+    more = similar(members.mapInArrow(_apart, PAIRS).distinct())
     if not more.isEmpty():
         roots = components(links.union(more))
 
