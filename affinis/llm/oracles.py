@@ -2,4 +2,34 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+MIX = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS place
+  FROM documents),
+totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, 3 * source_size AS capacity, CAST((n - 1) % 3 + 1 AS DOUBLE) AS weight
+  FROM (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS n FROM totals)),
+levels AS (
+  SELECT *, CAST(sum(source_size) OVER () - (sum(capacity) OVER filled - capacity) AS DOUBLE)
+            / (sum(weight) OVER () - (sum(weight) OVER filled - weight)) AS level
+  FROM weighed WINDOW filled AS (ORDER BY capacity / weight, n)),
+targets AS (
+  SELECT *, least(CAST(capacity AS DOUBLE), max(level) OVER () * weight) AS target FROM levels),
+sent AS (
+  SELECT s.doc_id, s.size, t.n, t.source_size, t.target,
+         CAST(sum(s.size) OVER (PARTITION BY t.n ORDER BY s.place, s.doc_id, s.size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS sent
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+copies AS (
+  SELECT n, sent, size, CAST(sum(size) OVER (
+           ORDER BY (sent + copy * source_size) / target, n, sent, copy ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
+  FROM sent, (VALUES (0), (1), (2)) AS v(copy) WHERE size > 0 AND target > 0),
+taken AS (
+  SELECT n, sent, CAST(sum(size) AS BIGINT) AS taken FROM copies
+  WHERE upto <= (SELECT sum(source_size) FROM totals) GROUP BY n, sent)
+SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN coalesce(taken, 0) ELSE 0 END AS taken
+FROM sent LEFT JOIN taken USING (n, sent)
+"""
+
+ORACLES: dict[str, str] = {"op4_mix": MIX}
