@@ -1,8 +1,8 @@
 """License scan: ordered signature rules on word sequences, with DataFrame functions only.
 
-A document that says neither "licen..." nor "cc by" is passed over. The others
-are reduced to words, and each rule whose keyword occurs runs its regular
-expression over the words. A detection that lies inside another one of the same
+A document in which no form of a sentence has its own literals (``GATE``) is
+passed over. The others are reduced to words, and each rule whose keywords occur
+runs its regular expression over the words. A detection that lies inside another one of the same
 or a higher priority is suppressed, so "licensed under the gnu lesser general
 public license" is not reported once more as the general public license. The
 three base phrases are never suppressed.
@@ -27,7 +27,7 @@ from affinis.llm.common import NOT_LOWER_WORD, lower_ascii, regex_spans
 from affinis.session import materialize
 
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-GATE = r"(?i)licen|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by"
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 @dataclass(frozen=True)
@@ -104,6 +104,11 @@ FORMS = (
 )
 
 
+#: Each match of a rule has one of these: the word where its form asks for it, otherwise a phrase of the form itself.
+GATES = ("licen", "cc by", "released under", "distributed under", "published under", "available under", "under the terms of")
+GATE = "(?i)" + "|".join(g.replace(" ", BETWEEN) for g in GATES)
+
+
 def signatures() -> tuple[Signature, ...]:
     """Base phrases first, then every form with every name, best form first."""
     whole = "(?<= ){}(?= )".format
