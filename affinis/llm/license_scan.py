@@ -32,15 +32,15 @@ BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 @dataclass(frozen=True)
 class Signature:
-    """``pattern`` runs over words with one blank between; ``keyword`` is a word of each match, ``also`` a part of it."""
+    """``pattern`` runs over words with one blank between; each match has one of ``keywords`` and one of ``also`` in it."""
 
     label: str
-    keyword: str
+    keywords: tuple[str, ...]
     pattern: str
     priority: int
     confidence: float
     base: bool = False
-    also: str = ""
+    also: tuple[str, ...] = ("",)
 
 
 # The phrases of the base, and the names under which public licenses are known.
@@ -49,21 +49,22 @@ BASE = (
     ("apache-2", "apache license version 2"),
     ("cc-by-nc", "cc by nc"),
 )
+#: Label, the words (separated by |, their beginnings with *) of which each match has one, and the name.
 NAMES = (
     ("mit", "mit", "mit"),
     ("mit-0", "mit", "mit 0|mit no attribution"),
     ("apache-2", "apache", "apache(?: software)?(?: license)?(?: version)? 2(?: 0)?"),
     ("apache-1.1", "apache", "apache(?: software)?(?: license)?(?: version)? 1 1"),
-    ("bsd-2-clause", "bsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)"),
+    ("bsd-2-clause", "bsd|freebsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)"),
     ("bsd-3-clause", "bsd", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)"),
     ("bsd-4-clause", "bsd", "(?:bsd 4 clause|4 clause bsd|original bsd)"),
-    ("gpl-2", "2", "(?:gnu )?(?:gpl|general public license)(?: gpl)?(?: version| v)? ?2(?: 0)?"),
-    ("gpl-3", "3", "(?:gnu )?(?:gpl|general public license)(?: gpl)?(?: version| v)? ?3(?: 0)?"),
+    ("gpl-2", "gpl*|general public*", "(?:gnu )?(?:gpl|general public license)(?: gpl)?(?: version| v)? ?2(?: 0)?"),
+    ("gpl-3", "gpl*|general public*", "(?:gnu )?(?:gpl|general public license)(?: gpl)?(?: version| v)? ?3(?: 0)?"),
     ("gpl", "gnu", "gnu (?:gpl|general public license)"),
-    ("lgpl-2.1", "2", "(?:gnu )?(?:lgpl|lesser general public license)(?: lgpl)?(?: version| v)? ?2 1"),
-    ("lgpl-3", "3", "(?:gnu )?(?:lgpl|lesser general public license)(?: lgpl)?(?: version| v)? ?3(?: 0)?"),
+    ("lgpl-2.1", "lgpl*|lesser general public*", "(?:gnu )?(?:lgpl|lesser general public license)(?: lgpl)?(?: version| v)? ?2 1"),
+    ("lgpl-3", "lgpl*|lesser general public*", "(?:gnu )?(?:lgpl|lesser general public license)(?: lgpl)?(?: version| v)? ?3(?: 0)?"),
     ("lgpl", "gnu", "gnu (?:lgpl|(?:lesser|library) general public license)"),
-    ("agpl-3", "3", "(?:gnu )?(?:agpl|affero general public license)(?: agpl)?(?: version| v)? ?3(?: 0)?"),
+    ("agpl-3", "agpl*|affero general public*", "(?:gnu )?(?:agpl|affero general public license)(?: agpl)?(?: version| v)? ?3(?: 0)?"),
     ("agpl", "affero", "(?:gnu )?affero general public license"),
     ("mpl-1.1", "mozilla", "mozilla public license(?: version)? 1 1"),
     ("mpl-2", "mozilla", "mozilla public license(?: version)? 2(?: 0)?"),
@@ -96,7 +97,7 @@ NAMES = (
 )
 FORMS = (
     (1, 1.0, "spdx license identifier ", "spdx license identifier {}"),
-    (2, 0.95, "ed under ", "(?:is |are )?(?:licensed|licenced|released|distributed|published|available) under (?:the )?{}(?: licen[sc]e)?"),
+    (2, 0.95, "ed under |available under ", "(?:is |are )?(?:licensed|licenced|released|distributed|published|available) under (?:the )?{}(?: licen[sc]e)?"),
     (2, 0.95, "under the terms of ", "under the terms of (?:the )?{}(?: licen[sc]e)?"),
     (3, 0.85, "under the ", "under the {} licen[sc]e"),
     (3, 0.85, "licen", "licen[sc]e {}"),
@@ -112,10 +113,12 @@ GATE = "(?i)" + "|".join(g.replace(" ", BETWEEN) for g in GATES)
 def signatures() -> tuple[Signature, ...]:
     """Base phrases first, then every form with every name, best form first."""
     whole = "(?<= ){}(?= )".format
-    rules = [Signature(label, phrase.split()[-1], whole(phrase), 0, 1.0, True) for label, phrase in BASE]
+    rules = [Signature(label, (phrase,), whole(phrase), 0, 1.0, True) for label, phrase in BASE]
     for priority, confidence, also, form in FORMS:
-        for label, keyword, name in NAMES:
-            rules.append(Signature(label, keyword, whole(form.format(f"(?:{name})")), priority, confidence, also=also))
+        for label, keywords, name in NAMES:
+            pattern = whole(form.format(f"(?:{name})"))
+            literals = tuple(f" {k} ".replace("* ", "") for k in keywords.split("|"))
+            rules.append(Signature(label, literals, pattern, priority, confidence, also=tuple(also.split("|"))))
     return tuple(rules)
 
 
@@ -131,10 +134,11 @@ def _blanks(text: Column) -> Column:
 def detections(words: Column, rules: tuple[Signature, ...]) -> Column:
     """``array<struct<start, end, priority, place, label, confidence, base>>`` in words, ends exclusive."""
     # one literal instead of some thousand columns
-    fields = "keyword string, pattern string, label string, priority int, place int, confidence double, base boolean, also string"
-    rows = [vars(r) | {"keyword": f" {r.keyword} ", "place": place} for place, r in enumerate(rules)]
+    fields = "keywords array<string>, pattern string, label string, priority int, place int, confidence double, base boolean, also array<string>"
+    rows = [vars(r) | {"place": place} for place, r in enumerate(rules)]
     table = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{fields.replace(' ', ':').replace(',:', ',')}>>")
-    gated = F.filter(table, lambda r: F.contains(words, r["keyword"]) & F.contains(words, r["also"]) & F.rlike(words, r["pattern"]))
+    one_of = lambda parts: F.exists(parts, lambda p: F.contains(words, p))
+    gated = F.filter(table, lambda r: one_of(r["keywords"]) & one_of(r["also"]) & F.rlike(words, r["pattern"]))
     return F.flatten(
         F.transform(
             gated,

@@ -50,6 +50,31 @@ def test_matches_of_every_rule_pass_the_document_gate(matches):
             assert re.search(license_scan.GATE, form), form
 
 
+def test_gates_of_rules_let_every_match_through(documents, matches):
+    patterns = [re.compile(r.pattern) for r in license_scan.signatures()]
+    texts = sorted({t for _, t in matches})
+    want = {(n, place) for n, t in enumerate(texts) for place, p in enumerate(patterns) if p.search(f" {t} ")}
+    found = license_scan.detect(documents(list(enumerate(texts)))).collect()
+    assert {(r.doc_id, d.place) for r in found for d in r.found} == want
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("licensed under the GPL v2", ["gpl-2"]),
+        ("Licensed under LGPL v3.", ["lgpl-3"]),
+        ("AGPL v3 license", ["agpl-3"]),
+        ("released under the GPL2", ["gpl-2"]),
+        ("licensed under the GNU GPL v2", ["gpl-2"]),
+        ("available under the GPL 2", ["gpl-2"]),
+        ("Available under the Unlicense", ["unlicense"]),
+        ("a FreeBSD license", ["bsd-2-clause"]),
+    ],
+)
+def test_forms_of_names(documents, text, labels):
+    assert license_scan.scan_licenses(documents([(1, text)])).first().labels == labels
+
+
 @pytest.mark.parametrize(
     "text, label",
     [
