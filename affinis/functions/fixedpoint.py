@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 UNITS = 1e10
 _LOW_BITS = 20
 _TOTAL = "decimal(38,0)"
+_POWERS, _STEP = (30, 0, -30, -60, -90), 30
 
 
 def to_units(value: Column) -> Column:
@@ -35,6 +36,31 @@ def from_units(total: Column) -> Column:
     return total.cast("double") / F.lit(UNITS)
 
 
+def exact_total(value: Column) -> Column:
+    """Sum of doubles that does not depend on the order of rows, without a grid that has to suit their size.
+
+    Each value is cut into whole numbers of 2^30, 1, 2^-30, 2^-60 and 2^-90 of at
+    most 30 bits (the first has the rest), which are summed apart in plain longs.
+    All steps but the rounding to 2^-90 are exact.
+    """
+    total = above = None
+    parts = []
+    for power in _POWERS:
+        upto = F.rint(value * F.lit(2.0**-power))
+        parts.append(F.sum((upto if above is None else upto - above * F.lit(2.0**_STEP)).cast("bigint")).cast("double"))
+        above = upto
+    for power, part in reversed(list(zip(_POWERS, parts))):
+        scaled = part * F.lit(2.0**power)
+        total = scaled if total is None else total + scaled
+    return total
+
+
+def to_40_bits(value: Column) -> Column:
+    """A double with the last 13 bits rounded off, so that quotients equal but for their rounding are equal."""
+    wide = value * F.lit(float((1 << 13) + 1))
+    return wide - (wide - value)
+
+
 def half_even_div(numerator: Column, denominator: Column) -> Column:
     """Whole-number division rounded to nearest, ties to even (numerator >= 0)."""
     remainder = numerator % denominator

@@ -3,7 +3,8 @@
 Each model follows the same plan: attach what the score needs about an item to
 its interaction rows (a join on the interactions, which are far fewer than the
 pairs), unfold the item pairs of every user, and aggregate once by pair. The
-pair table, the largest one here, is shuffled a single time.
+pair table, the largest one here, is shuffled a single time. Contributions are
+summed exactly and divided by the norm of the pair, which travels with the sum.
 
 Input is one row per (user, item), see ``prepare.max_rate``.
 """
@@ -13,19 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinis.functions.fixedpoint import exact_sum, from_units, to_units
+from affinis.functions.fixedpoint import exact_total, to_40_bits
 from affinis.operators.pairs import BLOCK_SIZE, member_pairs
 from affinis.operators.topk import best_first, top_k
 
 
-def _total(value: Column) -> Column:
-    """A sum that does not depend on the order of rows."""
-    return from_units(exact_sum(to_units(value)))
-
-
 def item_weight(rates: DataFrame) -> DataFrame:
     """Weight of an item: the sum of its rates."""
-    return rates.groupBy("item").agg(_total(F.col("rate")).alias("weight"))
+    return rates.groupBy("item").agg(exact_total(F.col("rate")).alias("weight"))
 
 
 def item_moments(rates: DataFrame) -> DataFrame:
@@ -36,13 +32,13 @@ def item_moments(rates: DataFrame) -> DataFrame:
     """
     sums = rates.groupBy("item").agg(
         F.count(F.lit(1)).alias("n"),
-        _total(F.col("rate")).alias("total"),
-        _total(F.col("rate") * F.col("rate")).alias("squares"),
+        exact_total(F.col("rate")).alias("total"),
+        exact_total(F.col("rate") * F.col("rate")).alias("squares"),
         (F.min("rate") == F.max("rate")).alias("_flat"),
     )
     sums = sums.withColumn("mean", F.col("total") / F.col("n"))
     centred = rates.select("item", "rate").join(sums, "item").withColumn("_c", F.col("rate") - F.col("mean"))
-    deviation = F.when(F.max("_flat"), 0.0).otherwise(_total(F.col("_c") * F.col("_c")))
+    deviation = F.when(F.max("_flat"), 0.0).otherwise(exact_total(F.col("_c") * F.col("_c")))
     fixed = [F.max(c).alias(c) for c in ("n", "total", "squares", "mean")]
     return centred.groupBy("item").agg(*fixed, deviation.alias("deviation"))
 
@@ -71,20 +67,19 @@ def overlap(rates: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     return item_pairs(rates, ("rate",), block_size).groupBy("item_i", "item_j").agg(F.sum(smaller).alias("overlap"))
 
 
-def _summed(pairs: DataFrame, contribution: Column) -> DataFrame:
-    """Only the pair and its sum are shuffled: what the items bring is in the contribution already."""
-    units = pairs.select("item_i", "item_j", to_units(contribution).alias("_units"))
-    sums = units.groupBy("item_i", "item_j").agg(exact_sum(F.col("_units")).alias("_units"))
-    return sums.select("item_i", "item_j", from_units(F.col("_units")).alias("sim"))
+def _summed(pairs: DataFrame, contribution: Column, norm: Column) -> DataFrame:
+    """Sum of the contributions of a pair over its norm, which is the same in all rows of the pair."""
+    terms = pairs.select("item_i", "item_j", contribution.alias("_value"), norm.alias("_norm"))
+    sums = terms.groupBy("item_i", "item_j").agg(exact_total(F.col("_value")).alias("_total"), F.max("_norm").alias("_norm"))
+    return sums.select("item_i", "item_j", to_40_bits(F.col("_total") / F.col("_norm")).alias("sim"))
 
 
 def scored_by_weight(rates: DataFrame, contribution: Column, block_size: int = BLOCK_SIZE) -> DataFrame:
     """Summed contributions of shared users over the geometric mean of both weights."""
-    factor = (F.lit(1.0) / F.sqrt("weight")).alias("factor")
-    factors = item_weight(rates).where(F.col("weight") > 0).select("item", factor)
-    weighted = rates.select("user", "item", "rate").join(factors, "item")
-    pairs = item_pairs(weighted, ("rate", "factor"), block_size)
-    return _summed(pairs, contribution * (F.col("factor_a") * F.col("factor_b")))
+    weights = item_weight(rates).where(F.col("weight") > 0)
+    weighted = rates.select("user", "item", "rate").join(weights, "item")
+    pairs = item_pairs(weighted, ("rate", "weight"), block_size)
+    return _summed(pairs, contribution, F.sqrt(F.col("weight_a") * F.col("weight_b")))
 
 
 def cosine(rates: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
@@ -103,14 +98,13 @@ def raw_product(rates: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
 def pearson(rates: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     """Products of centred rates over shared users, over the deviation of all raters.
 
-    Each rating travels as one number, its centred rate over the root of the
-    item's deviation. Items whose raters all agree have no deviation and form no
-    pair.
+    Items whose raters all agree have no deviation and form no pair.
     """
     centre = item_moments(rates).where(F.col("deviation") > 0).select("item", "mean", "deviation")
-    z = (F.col("rate") - F.col("mean")) / F.sqrt("deviation")
-    centred = rates.select("user", "item", "rate").join(centre, "item").select("user", "item", z.alias("z"))
-    return _summed(item_pairs(centred, ("z",), block_size), F.col("z_a") * F.col("z_b"))
+    c = F.col("rate") - F.col("mean")
+    centred = rates.select("user", "item", "rate").join(centre, "item").select("user", "item", c.alias("c"), "deviation")
+    pairs = item_pairs(centred, ("c", "deviation"), block_size)
+    return _summed(pairs, F.col("c_a") * F.col("c_b"), F.sqrt("deviation_a") * F.sqrt("deviation_b"))
 
 
 def symmetric(sims: DataFrame, score: str = "sim") -> DataFrame:

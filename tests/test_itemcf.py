@@ -121,3 +121,22 @@ def test_pearson_of_fractional_rates_at_any_partitioning(spark, partitions):
         both = by_item[i].keys() & by_item[j].keys()
         want = sum((by_item[i][u] - mean[i]) * (by_item[j][u] - mean[j]) for u in both) / (dev[i] * dev[j]) ** 0.5
         assert abs(sim - want) < 1e-7
+
+
+@pytest.mark.parametrize("kind", ["cosine", "raw_product", "pearson"])
+def test_small_shares_of_heavy_items_are_kept(spark, kind):
+    """Three users' shares of two items are each below half of 1e-10, as those of items with very many raters are."""
+    rows = {(u, i): 1.0 for u in range(3) for i in (1, 2)} | {(3, 1): 1e11, (4, 2): 1e11}
+    sims = getattr(itemcf, kind)(rates_frame(spark, rows)).collect()
+    exact = brute(rows, kind)[1, 2] if kind == "pearson" else 3 / (1e11 + 3)
+    assert [(r.item_i, r.item_j) for r in sims] == [(1, 2)]
+    assert sims[0].sim == pytest.approx(exact, rel=1e-9)
+
+
+def test_large_rates_do_not_overflow(spark):
+    rows = {(u, i): 1e6 * (u + i) for u in range(4) for i in (1, 2)}
+    moments = {r.item: r for r in itemcf.item_moments(rates_frame(spark, rows)).collect()}
+    assert moments[1].squares == 30e12 and moments[1].deviation == 5e12
+    for kind in ("cosine", "raw_product", "pearson"):
+        sims = {(r.item_i, r.item_j): r.sim for r in getattr(itemcf, kind)(rates_frame(spark, rows)).collect()}
+        assert sims == pytest.approx(brute(rows, kind), rel=1e-9)
