@@ -34,7 +34,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from math import ceil, exp
+from math import ceil, exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -80,11 +80,34 @@ def most_apart(high: int) -> int:
 
 
 def _expected_excess(mean: float, allowed: int) -> float:
-    term, below, inside = exp(-mean), 0.0, 0.0
-    for j in range(allowed + 1):
-        below, inside = below + term, inside + j * term
-        term *= mean / (j + 1)
-    return max(0.0, mean - inside - allowed * (1 - below))
+    """Mean of what a Poisson variable has beyond ``allowed``: its upper tail, or with the lower tail where that is shorter."""
+    if not mean:
+        return 0.0
+    up = allowed >= mean
+    j, excess = (allowed + 1, 0.0) if up else (allowed - 1, mean - allowed)
+    term = exp(j * log(mean) - mean - lgamma(j + 1)) if j >= 0 else 0.0
+    while j >= 0 and abs(j - allowed) * term > 1e-12:
+        excess += abs(j - allowed) * term
+        term, j = (term * mean / (j + 1), j + 1) if up else (term * j / mean, j - 1)
+    return excess
+
+
+def _cheapest(low: int, high: int, deletions: int) -> tuple[float, Band]:
+    """The layout of a band with the cheapest ``spare``: some 500 of them, then those around the best."""
+    apart = most_apart(high)
+
+    def layout(spare: int) -> tuple[float, int, int]:
+        segments = ceil((apart + 1 + 2 * spare * (1 + deletions)) / (1 + deletions))
+        load = (low + high) / 2 / segments
+        bad = exp(-load) * (1 + load * deletions)
+        cost = segments + deletions * (low + high) / 2 + CROWDED * _expected_excess(segments * bad, spare)
+        return cost, spare, segments
+
+    end = 4 + high // 8
+    step = max(1, end // 500)
+    _, near, _ = min(map(layout, range(0, end, step)))
+    cost, spare, segments = min(map(layout, range(max(0, near - step), min(end, near + step + 1))))
+    return cost, Band(low, high, segments if apart else 0, deletions, spare)
 
 
 def bands(largest: int) -> list[Band]:
@@ -92,16 +115,7 @@ def bands(largest: int) -> list[Band]:
     out, low = [], 1
     while low <= largest:
         high = low * 5 // 4
-        apart, best = most_apart(high), None
-        for deletions in (0, 1):
-            for spare in range(0, 4 + high // 8):
-                segments = ceil((apart + 1 + 2 * spare * (1 + deletions)) / (1 + deletions))
-                load = (low + high) / 2 / segments
-                bad = exp(-load) * (1 + load * deletions)
-                cost = segments + deletions * (low + high) / 2 + CROWDED * _expected_excess(segments * bad, spare)
-                if best is None or cost < best[0]:
-                    best = cost, Band(low, high, segments if apart else 0, deletions, spare)
-        out.append(best[1])
+        out.append(min((_cheapest(low, high, deletions) for deletions in (0, 1)), key=lambda found: found[0])[1])
         low = high + 1
     return out
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -73,6 +74,16 @@ def test_bands_bound_the_difference():
         assert b.segments == 0 or units >= ngram_join.most_apart(b.high) + 1 + 2 * b.spare * (1 + b.deletions)
 
 
+def test_layout_of_very_long_texts_takes_no_time():
+    start = time.process_time()
+    layout = ngram_join.bands(1_000_000)
+    assert time.process_time() - start < 20
+    assert layout[-1].high >= 1_000_000
+    for b in layout:
+        kept = b.segments - 2 * b.spare
+        assert not b.segments or kept * (1 + b.deletions) >= ngram_join.most_apart(b.high) + 1
+
+
 def test_components(spark):
     rng = random.Random(4)
     pairs = [(k, k + 1) for k in range(40)] + [(100, 200 + k) for k in range(30)] + [(rng.randrange(300, 330), rng.randrange(300, 330)) for _ in range(20)]
