@@ -61,15 +61,6 @@ def to_40_bits(value: Column) -> Column:
     return wide - (wide - value)
 
 
-def half_even_div(numerator: Column, denominator: Column) -> Column:
-    """Whole-number division rounded to nearest, ties to even (numerator >= 0)."""
-    remainder = numerator % denominator
-    quotient = F.call_function("div", numerator, denominator)
-    return quotient + F.when(
-        (remainder * 2 > denominator) | ((remainder * 2 == denominator) & (quotient % 2 == 1)), F.lit(1)
-    ).otherwise(F.lit(0))
-
-
 def percent(value: Column, places: int = 4) -> Column:
     """A fraction as text such as ``12.3456%``; NULL stays NULL."""
     return F.concat(F.bround(value * 100, places).cast("string"), F.lit("%"))

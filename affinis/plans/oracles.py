@@ -54,35 +54,42 @@ def _top(name: str, sims: str, score: str, k: int, directed: bool = False) -> st
   WHERE n <= {k})"""
 
 
-def _cosine(t: str, product: str = "least(a.r, b.r)") -> str:
-    return f"""
-factor AS (SELECT i, 1e0 / sqrt(sum(r)) AS f FROM {t} GROUP BY i HAVING sum(r) > 0),
-sims AS (
-  SELECT a.i AS i, b.i AS j, CAST(sum(CAST(round({product} * (x.f * y.f) * 1e10) AS BIGINT)) AS DOUBLE) / 1e10 AS sim
-  FROM {t} a JOIN {t} b ON a.u = b.u AND a.i < b.i
-  JOIN factor x ON x.i = a.i JOIN factor y ON y.i = b.i GROUP BY a.i, b.i)"""
+def _to_40_bits(value: str) -> str:
+    """A double without its last 13 bits: equal quotients with different rounding errors are one number."""
+    return f"(({value}) * 8193) - ((({value}) * 8193) - ({value}))"
 
 
-def _sum(value: str) -> str:
-    return f"CAST(sum(CAST(round(({value}) * 1e10) AS BIGINT)) AS DOUBLE) / 1e10"
+def _cosine(t: str, product: str = "least(a.r, b.r)") -> str:
+    return f"""
+weight AS (SELECT i, sum(r) AS w FROM {t} GROUP BY i HAVING sum(r) > 0),
+shared AS (
+  SELECT a.i AS i, b.i AS j, sum({product}) AS total
+  FROM {t} a JOIN {t} b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i),
+quotient AS (
+  SELECT s.i, s.j, s.total / sqrt(x.w * y.w) AS v FROM shared s JOIN weight x ON x.i = s.i JOIN weight y ON y.i = s.j),
+sims AS (SELECT i, j, {_to_40_bits('v')} AS sim FROM quotient)"""
 
 
 def _moment(t: str) -> str:
     return f"""
-mean AS (SELECT i, count(*) AS n, {_sum('r')} AS total, {_sum('r * r')} AS squares, {_sum('r')} / count(*) AS m,
+mean AS (SELECT i, count(*) AS n, fsum(r) AS total, fsum(r * r) AS squares, fsum(r) / count(*) AS m,
                 min(r) = max(r) AS flat FROM {t} GROUP BY i),
 moment AS (
   SELECT i, any_value(n) AS n, any_value(total) AS total, any_value(squares) AS squares, any_value(m) AS m,
-         CASE WHEN any_value(flat) THEN 0e0 ELSE {_sum('(r - m) * (r - m)')} END AS v
+         CASE WHEN any_value(flat) THEN 0e0 ELSE fsum((r - m) * (r - m)) END AS v
   FROM {t} JOIN mean USING (i) GROUP BY i)"""
 
 
 def _pearson(t: str) -> str:
     return f"""{_moment(t)},
-centred AS (SELECT u, i, (r - m) / sqrt(v) AS z FROM {t} JOIN moment USING (i) WHERE v > 0),
-sims AS (
-  SELECT a.i AS i, b.i AS j, {_sum('a.z * b.z')} AS sim
-  FROM centred a JOIN centred b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i)"""
+centred AS (SELECT u, i, r - m AS c FROM {t} JOIN moment USING (i) WHERE v > 0),
+shared AS (
+  SELECT a.i AS i, b.i AS j, fsum(a.c * b.c) AS total
+  FROM centred a JOIN centred b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i),
+quotient AS (
+  SELECT s.i, s.j, s.total / (sqrt(x.v) * sqrt(y.v)) AS v
+  FROM shared s JOIN moment x ON x.i = s.i JOIN moment y ON y.i = s.j),
+sims AS (SELECT i, j, {_to_40_bits('v')} AS sim FROM quotient)"""
 
 
 def _swing(t: str, alpha: str = "5e-1", weighted: bool = False, having: str = "") -> str:
