@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinis.llm import decontamination, language_id, license_scan, mixing, ngram_join, pii, quality, secret_scan, suffix_dedup, token_counts
+from affinis.llm import (
+    decontamination,
+    fill_in_middle,
+    language_id,
+    license_scan,
+    line_dedup,
+    mixing,
+    ngram_join,
+    pii,
+    quality,
+    secret_scan,
+    suffix_dedup,
+    term_search,
+    token_counts,
+)
 from affinis.llm.common import table
 
 
@@ -97,6 +111,29 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the lines that ten documents or more share."""
+    docs = table(spark, sf_dir, "documents")
+    kept = line_dedup.without_lines(docs, line_dedup.line_bitmaps(docs, min_docs=10, min_chars=1))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_term_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents of highest score for each benchmark item."""
+    return term_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document cut at two places and put together again with the middle last."""
+    cut = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    digest = lambda text, name: F.sha2(text.cast("binary"), 256).alias(name)
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digest(F.col("output"), "output_sha256"), digest(back, "restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_pii": op2_pii,
@@ -108,4 +145,7 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_term_search": op12_term_search,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
