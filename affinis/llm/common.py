@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a table as one struct, so that columns of our own beside it meet no other of their name."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+
+
 def partitions(spark: SparkSession) -> int:
     """Tasks of a shuffle that adaptive execution does not size."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

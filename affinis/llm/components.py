@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinis.session import materialize
+from affinis.session import materialize, stack
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
         if state == total or not total[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         state = total
-        both = edges.union(edges.select("v", "u"))
+        both = stack(edges, edges.select("v", "u"))
         large = smallest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         large = materialize(large.distinct(), "links")
         small = smallest(large).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))

@@ -10,12 +10,13 @@ Items are taken in blocks of ``BLOCK_CHARS`` characters, so what is sent to the
 executors is bounded whatever the size of the benchmark: a larger benchmark is
 more passes over the documents. No document or item is left out.
 
-Defined cases: a NULL or empty document has no hits; items that are NULL or have
-fewer than ``MIN_CHARS`` characters identify nothing and are passed over; equal
-documents and equal items each give their own rows; of several places of an item
-in a document the one with the fewest edits is reported, then the first; empty
-tables give no rows; other columns are not looked at. Places refer to the text
-in lower case.
+Defined cases: a NULL or empty document has no hits, a NULL or blank item is in
+none; an item of fewer than ``MIN_CHARS`` characters is reported where it stands
+unchanged between word ends, but as such texts also occur by chance, it takes no
+document away; equal documents and equal items each give their own rows; of several places of an item
+in a document the one with the fewest edits is reported, then the first; a very
+long text is matched whole, in memory of some times its size; empty tables give
+no rows; other columns are not looked at. Places refer to the text in lower case.
 """
 
 from __future__ import annotations
@@ -76,7 +77,7 @@ def matcher(items: Items, rate: float = ERROR_RATE) -> Callable[[str | None], li
     known = [(key, item.lower(), int(rate * len(item))) for key, item in items]
     automaton = ahocorasick.Automaton()
     for n, (_, item, budget) in enumerate(known):
-        for at, piece in pieces(item, budget):
+        for at, piece in pieces(item, budget) if len(item) >= MIN_CHARS else [(0, item)]:
             if automaton.exists(piece):
                 automaton.get(piece)[1].append((n, at))
             else:
@@ -95,6 +96,11 @@ def matcher(items: Items, rate: float = ERROR_RATE) -> Callable[[str | None], li
         out = []
         for n, starts in begins.items():
             key, item, budget = known[n]
+            if len(item) < MIN_CHARS:
+                alone = [a for a in starts if not (text[a - 1 : a].isalnum() or text[a + len(item) : a + len(item) + 1].isalnum())]
+                if alone:
+                    out.append((key, 0, min(alone), min(alone) + len(item)))
+                continue
             exact = text.find(item)
             if exact >= 0:
                 out.append((key, 0, exact, exact + len(item)))
@@ -119,9 +125,10 @@ def matcher(items: Items, rate: float = ERROR_RATE) -> Callable[[str | None], li
     return run
 
 
-def item_blocks(benchmark: DataFrame, limit: int = BLOCK_CHARS) -> Iterator[Items]:
+def item_blocks(benchmark: DataFrame, limit: int = BLOCK_CHARS, min_chars: int = 1) -> Iterator[Items]:
     """The items block by block; the driver holds one partition of the benchmark at a time."""
-    rows = benchmark.where(F.char_length("text") >= MIN_CHARS).select(F.col("item_id").cast("bigint"), "text")
+    asked = (F.char_length("text") >= min_chars) & F.col("text").rlike(r"\S")
+    rows = benchmark.where(asked).select(F.col("item_id").cast("bigint"), "text")
     block: Items = []
     size = 0
     for key, text in rows.toLocalIterator():
@@ -171,7 +178,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, limit: int = BLOCK_CHARS) -> DataFrame:
-    """The documents that contain no test item."""
-    for block in item_blocks(benchmark, limit):
-        docs = docs.where(~_leaks(block, rate)("text"))
-    return docs
+    """The documents that contain no test item of ``MIN_CHARS`` characters or more."""
+    clean = written = None
+    for block in item_blocks(benchmark, limit, MIN_CHARS):
+        if clean is not None:  # what a block leaves is written before the next one, so that the driver holds one block
+            docs = written = materialize(clean, "clean", instead_of=written)
+        clean = docs.where(~_leaks(block, rate)("text"))
+    return docs if clean is None else clean

@@ -31,6 +31,8 @@ SMOOTHING = 0.5
 UNKNOWN = "und"
 #: Nats by which the likelihood of a further language has to gain, per trigram and logarithm of their number.
 PENALTY = 0.02
+#: Nats that it has to gain besides, and half the logarithm: a few trigrams are no evidence of a second language.
+LEAST_GAIN = 3.0
 ROUNDS = 12
 
 
@@ -108,7 +110,8 @@ def classifier(names: list[str], logs: np.ndarray) -> Callable[[str | None], tup
         k = len(names)
         whole, _ = proportions(likelihood, counts, np.full(k, 1 / k))
         order = np.argsort(-whole, kind="stable")
-        penalty = PENALTY * len(found) * np.log(len(found) + 1) / np.log(1000)
+        logarithm = np.log(len(found) + 1)
+        penalty = LEAST_GAIN + 0.5 * logarithm + PENALTY * len(found) * logarithm / np.log(1000)
         chosen, weights = order[:1], np.ones(1)
         best = float(counts @ np.log(np.maximum(likelihood[order[0]], 1e-300)))
         for size in range(2, k + 1):

@@ -21,8 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinis.llm.common import BLANK_WORD
-from affinis.session import materialize
+from affinis.llm.common import BLANK_WORD, whole_row
+from affinis.session import materialize, stack
 
 SLOT_ROWS = 50_000
 KEY_BITS = 60
@@ -123,18 +123,28 @@ def _mix(docs: DataFrame, weights: tuple[float, ...], max_copies: int, seed: str
 def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_copies: int = 3, seed: str = "mix") -> DataFrame:
     """``docs`` with each row as often as the mix takes it, numbered in ``mix_copy``.
 
-    Rows meet their number of copies by id, source and size; equal ones of these are numbered on both sides.
+    Rows meet their number of copies by id, source and size, in one join, for
+    which texts are shuffled once. Of the rows that share all three, the first
+    ones by number get the most copies; only they are numbered, where the join has put them.
     """
     docs = docs.drop("mix_copy")
     key = ["doc_id", "source", "size"]
-    taken = _mix(docs, weights, max_copies, seed, extra=("source",)).select(*key, "copies")
-    nth = F.row_number().over(Window.partitionBy(*key).orderBy("copies"))
-    taken = taken.withColumn("nth", nth).where("copies > 0").select(*[F.col(c).alias(f"_{c}") for c in (*key, "nth", "copies")])
+    taken = _mix(docs, weights, max_copies, seed, extra=("source",)).groupBy(*key)
+    often = [F.count_if(F.col("copies") >= c).alias(f"at_least_{c}") for c in range(1, max_copies + 1)]
+    taken = taken.agg(F.count(F.lit(1)).alias("rows"), *often).where("at_least_1 > 0")
+    taken = taken.select(F.xxhash64(*key).alias("digest"), *[F.col(c).alias(f"k_{c}") for c in key], "rows", *[f"at_least_{c}" for c in range(1, max_copies + 1)])
     words = F.coalesce(F.regexp_count("text", F.lit(BLANK_WORD)), F.lit(0)).cast("bigint")
-    names = docs.columns
-    held = docs.select(F.struct(*names).alias("row"), "doc_id", "source", words.alias("size"))
-    held = held.withColumn("nth", F.row_number().over(Window.partitionBy(*key).orderBy("size")))
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("doc_id", "source")]
-    same += [F.col(c) == F.col(f"_{c}") for c in ("size", "nth")]
-    met = held.join(taken, same[0] & same[1] & same[2] & same[3])
-    return met.select("row.*", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("mix_copy"))
+    held = docs.select(whole_row(docs).alias("row"), "doc_id", "source", words.alias("size"))
+    held = held.withColumn("held_digest", F.xxhash64(*key))
+    same = F.col("held_digest") == F.col("digest")
+    for c in key:
+        same &= F.col(c).eqNullSafe(F.col(f"k_{c}"))
+    met = held.join(taken, same)
+    nth = F.row_number().over(Window.partitionBy("held_digest", *key).orderBy("rows"))
+    numbered = stack(
+        met.where("rows = 1").withColumn("nth", F.lit(1)),
+        met.where("rows > 1").withColumn("nth", nth),
+    )
+    copies = sum(F.when(F.col("nth") <= F.col(f"at_least_{c}"), 1).otherwise(0) for c in range(1, max_copies + 1))
+    numbered = numbered.select("row", copies.cast("int").alias("copies")).where("copies > 0")
+    return numbered.select("row.*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("mix_copy"))

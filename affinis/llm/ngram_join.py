@@ -43,10 +43,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinis.llm.blocks import PACKED, document_blocks, mixed, packed_rows, part_keys, unpacked
-from affinis.llm.common import partitions
+from affinis.llm.common import partitions, whole_row
 from affinis.llm.components import components
 from affinis.operators.pairs import spread
-from affinis.session import materialize
+from affinis.session import materialize, stack
 
 WORDS = 5
 #: Weight of an expected crowded key against a signature, when a band is laid out.
@@ -380,7 +380,7 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     members = members.repartition(n, "key", "_low", "_high").sortWithinPartitions("key", "_low", "_high")
     more = similar(members.mapInArrow(_apart, PAIRS).distinct())
     if not more.isEmpty():
-        roots = components(links.union(more))
+        roots = components(stack(links, more))
 
     placed = classes.where("n_shingles > 0").select("node", "doc_id")
     placed = rooted(placed, "node", "root")
@@ -394,6 +394,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents of ``docs`` without those that a document with a smaller id stands for."""
     found = similarity_classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = materialize(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "kept")
-    single = docs.join(kept.where("n = 1").select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    several = docs.join(kept.where("n > 1").select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return single.unionByName(several.dropDuplicates(["doc_id", "text"]))
+    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").alias("id"))
+
+    def met(which: str) -> DataFrame:
+        ids = kept.where(which).select(F.col("doc_id").alias("wanted"))
+        return rows.join(ids, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("row.*")
+
+    return stack(met("n = 1"), met("n > 1").dropDuplicates(["doc_id", "text"]))

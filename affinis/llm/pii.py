@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from string import ascii_letters
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -123,9 +124,15 @@ def read_digits() -> Callable[[Tape], Tape]:
 def read_at_dot() -> Callable[[Tape], Tape]:
     """Rewrites bracketed "at" and "dot", and bare ones where a host with spelled dots follows."""
     bracketed = re.compile(r"\s{0,2}[\[({<]\s{0,2}(at|dot|@|\.)\s{0,2}[\])}>]\s{0,2}", re.I)
-    host = re.compile(r"(?: at |@)(?!dot )[A-Za-z0-9-]{1,63}(?:(?: dot |\.)(?!dot\b)[A-Za-z0-9-]{1,63}){1,8}(?![A-Za-z0-9-])", re.I)
+    host = re.compile(r"(?: at |@)(?!dot )[A-Za-z0-9-]++(?:(?: dot |\.)(?!dot\b)[A-Za-z0-9-]++)++", re.I)
     bare = re.compile(r" at | dot ", re.I)
-    local = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
+    local = frozenset(ascii_letters + "0123456789._%+-")
+
+    def name_before(text: str, end: int, floor: int) -> int:
+        """Where the local part that ends at ``end`` starts; ``floor`` is as far as another one has been read."""
+        while end > floor and text[end - 1] in local:
+            end -= 1
+        return end
 
     def run(tape: Tape) -> Tape:
         text = tape.text
@@ -135,21 +142,24 @@ def read_at_dot() -> Callable[[Tape], Tape]:
             text = tape.text
         if " dot " not in text.lower():
             return tape
-        edits = []
+        edits, floor = [], 0
         for m in host.finditer(text):
             if " dot " not in m[0].lower():
                 continue
             edits += [(p.start(), p.end(), "@" if "a" in p[0].lower() else ".") for p in bare.finditer(text, m.start(), m.end())]
             at, before = m.start(), []
-            while len(before) < 8:  # john dot doe at ...
-                name = local.search(text, max(0, at - 64), at)
-                if not name or text[max(0, name.start() - 5) : name.start()].lower() != " dot ":
+            while True:  # john dot doe at ...
+                start = name_before(text, at, floor)
+                if start == at:
+                    if before:
+                        before.pop()  # nothing stands before that dot
+                    break
+                if start - 5 < floor or text[start - 5 : start].lower() != " dot ":
                     break
-                at = name.start() - 5
+                at = start - 5
                 before.append((at, at + 5, "."))
-            if before and not local.search(text, max(0, at - 64), at):
-                before.pop()  # nothing stands before that dot
             edits += before
+            floor = m.end()
         return tape.rewrite(sorted(edits))
 
     return run

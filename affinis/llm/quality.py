@@ -228,7 +228,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
     judged = judged.groupBy(F.col("doc_id").cast("bigint").alias("id")).agg(F.max("quality").alias("quality"))
     sample = judged.orderBy(F.xxhash64("id"), "id").limit(max_rows)
     # the bound on the sample is what makes it small enough to send to every task
-    known = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select("doc_id", "text")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    known = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select("doc_id", "text")
     rows = measure(known).select("doc_id", "features").join(F.broadcast(sample), F.col("doc_id") == F.col("id"))
     rows = rows.select("doc_id", "features", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(max_rows)
     rows = rows.collect()

@@ -11,12 +11,15 @@ def documents(spark):
         full = [(*r, *[None] * (4 - len(r)))[:4] for r in rows]
         frame = spark.createDataFrame([(*r, None if r[1] is None else len(r[1])) for r in full], COLUMNS)
         if extra:  # names that operators use inside
-            frame = frame.selectExpr("*", "1 AS size", "'x' AS node", "2 AS part", "0.5D AS score", "'k' AS keys")
+            frame = frame.selectExpr("*", "1 AS size", "'x' AS node", "2 AS part", "0.5D AS score", "'k' AS keys", *CLASHES)
         return frame
 
     return make
 
 
+#: Further names that operators use inside, also one that is no plain identifier.
+CLASHES = [f"{i} AS `{c}`" for i, c in enumerate(("id", "_id", "_guess", "n", "key", "rank", "row", "copies", "a.b", "h1", "n_lines"))]
+
 #: NULLs in any column, empty texts, repeated rows, a repeated id with another text, odd characters.
 ODD = [
     (1, None, None, None),
