@@ -3,6 +3,13 @@
 Every stage works on all documents that the one before it kept. ``documents``
 and what lies between the stages have the same columns; the last stage adds
 ``mix_copy``, the number of the copy of a document in the mix.
+
+Defined cases, of every stage: further columns stay as they are, whatever their
+names (a ``mix_copy`` that is already there is replaced); an empty table gives an
+empty one; a document without text or with an empty one has no language and goes
+in the first stage; NULLs in other columns are kept; equal rows are one document
+for the similarity join and each a row of their own elsewhere; a very long text
+is handled by its stages as by their operators.
 """
 
 from __future__ import annotations
@@ -11,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.llm import decontamination, language_id, mixing, ngram_join, pii
-from affinis.llm.common import table
+from affinis.llm.common import table, whole_row
 from affinis.session import materialize
 
 #: A document whose main language has a smaller proportion has no main language.
@@ -21,9 +28,9 @@ LEAST_PROPORTION = 0.5
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a main language; those without letters and those of mixed languages go."""
     names, logs = language_id.learn(docs.where(~language_id.held_out(F.col("doc_id"))))
-    known = F.col("_guess.lang_pred") != language_id.UNKNOWN
-    guessed = docs.withColumn("_guess", language_id.guess(names, logs)("text"))
-    return guessed.where(known & (F.col("_guess.score") >= LEAST_PROPORTION)).select(*[docs[c] for c in docs.columns])
+    guessed = docs.select(whole_row(docs).alias("row"), language_id.guess(names, logs)("text").alias("guess"))
+    known = (F.col("guess.lang_pred") != language_id.UNKNOWN) & (F.col("guess.score") >= LEAST_PROPORTION)
+    return guessed.where(known).select("row.*")
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
