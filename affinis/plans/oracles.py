@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from affinis.plans.queries import FOLDS, MAX_TEST
+from affinis.plans.queries import FOLDS, MAX_TEST, PUSH_ROUNDS
 
 #: 0.8^94 is the first even power of 0.8 below 1e-9.
 MOVES = 94
@@ -190,6 +190,46 @@ recs AS (
 SHOW_WALK_RECS = 'SELECT u AS "user", i AS item, round(r, 6) AS score, n AS rank FROM recs'
 
 
+#: A vertex pushes from 1e-6 of the mass per edge on; mass is counted in units of 1e-15.
+PRUNED, MASS = 10**9, 10**15
+
+
+def _push(t: str) -> str:
+    """All users' walks by push, all vertices of a round at once; vertices are numbered as in ``_walk``."""
+    hot, share = f"w >= {PRUNED} * deg", "((800 * w) // (1000 * deg))"
+    parts = [
+        f"""
+link AS (SELECT DISTINCT -1 - u AS src, i AS dst FROM {t} UNION ALL SELECT DISTINCT i, -1 - u FROM {t}),
+degree AS (SELECT src AS v, count(*) AS deg FROM link GROUP BY src)""",
+        f"""s0 AS (SELECT v AS seed, v, CAST(0 AS BIGINT) AS x, CAST({MASS} AS BIGINT) AS w
+       FROM degree WHERE v < 0 AND {PRUNED} * deg <= {MASS})""",
+    ]
+    for n in range(1, PUSH_ROUNDS + 1):
+        parts.append(
+            f"""s{n} AS MATERIALIZED (
+  SELECT seed, v, CAST(sum(x) AS BIGINT) AS x, CAST(sum(w) AS BIGINT) AS w FROM (
+    SELECT seed, v, CASE WHEN {hot} THEN x + w - {share} * deg ELSE x END AS x, CASE WHEN {hot} THEN 0 ELSE w END AS w
+    FROM s{n - 1} JOIN degree USING (v)
+    UNION ALL SELECT seed, dst, 0, {share} FROM s{n - 1} JOIN degree USING (v) JOIN link ON src = v WHERE {hot})
+  GROUP BY seed, v)"""
+        )
+    parts.append(
+        f"""ended AS (SELECT -1 - seed AS u, v, deg, x + w - (800 * w) // 1000 AS units, (800 * w) // 1000 AS rest, {hot} AS hot
+         FROM s{PUSH_ROUNDS} JOIN degree USING (v)),
+mass AS (SELECT u, CAST(sum(rest) AS BIGINT) AS rest, NOT bool_or(hot) AS at_rest FROM ended GROUP BY u)"""
+    )
+    return ",\n".join(parts)
+
+
+def _push_recs(t: str) -> str:
+    return f"""{_push(t)},
+recs AS (
+  SELECT u, i, units, deg, CAST(n AS INTEGER) AS n FROM (
+    SELECT u, v AS i, units, deg, row_number() OVER (PARTITION BY u ORDER BY units DESC, v) AS n FROM ended e
+    WHERE v >= 0 AND units > 0 AND NOT EXISTS (SELECT 1 FROM {t} h WHERE h.u = e.u AND h.i = e.v))
+  WHERE n <= 100)"""
+
+
 def _evaluated(model: str, top: str, sim: str) -> str:
     return f"WITH {RATES},{TRAIN_TEST},{model},{top},{_recs('train', sim)},{COUNTS}"
 
@@ -328,5 +368,12 @@ part AS (
 SELECT seed, round(max(abs(r)), 8) AS residual FROM (SELECT seed, v, sum(x) AS r FROM part GROUP BY seed, v) GROUP BY seed""",
     "ppr_recommend_topn": f"WITH {DENSE},{_walk_recs('rates')} {SHOW_WALK_RECS}",
     "recommendations_roundtrip": f"WITH {DENSE},{_walk_recs('rates')} {SHOW_WALK_RECS}",
+    "ppr_push_recommend": f"""WITH {RATES},{_push_recs('rates')}
+SELECT u AS "user", i AS item, CAST(units AS DOUBLE) / {MASS}e0 AS score, n AS rank,
+       CAST(CASE WHEN at_rest THEN least(rest, {PRUNED} * deg) ELSE rest END AS DOUBLE) / {MASS}e0 AS error
+FROM recs JOIN mass USING (u)""",
+    "ppr_push_mass": f"""WITH {RATES},{_push('rates')}
+SELECT u AS "user", CAST({MASS} - rest AS DOUBLE) / {MASS}e0 AS units, CAST(rest AS DOUBLE) / {MASS}e0 AS "left", at_rest FROM mass""",
+    "eval_ppr_push": f"WITH {RATES},{TRAIN_TEST},{_push_recs('train')},{COUNTS} {ALL_METRICS}",
     "eval_ppr": f"WITH {EVENT_RATES},{TRAIN_TEST},{_walk_recs('train')},{COUNTS} {ALL_METRICS}",
 }

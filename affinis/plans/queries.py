@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from affinis.functions.fixedpoint import from_units
 from affinis.operators import evaluate as ev
-from affinis.operators import itemcf, prepare, splits, swing, topk, walk
+from affinis.operators import itemcf, prepare, push, splits, swing, topk, walk
 from affinis.operators.recommend import RECOMMENDATIONS, recommend
 from affinis.session import materialize, new_path
 from affinis.sources import dimensions, interactions, model_store
@@ -18,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 FOLDS = 5
 MAX_TEST = 1000
+PUSH_ROUNDS = 30
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -343,6 +344,27 @@ def eval_ppr(spark, folder):
     return ev.evaluate(recs, train, test, RECOMMENDATIONS)
 
 
+# --- walks of all users of the orders graph, by push -------------------------------------------
+
+
+def ppr_push_recommend(spark, folder):
+    """100 items for every customer, with the error that a score can have."""
+    return push.recommend_by_push(_baskets(spark, folder), RECOMMENDATIONS, most=PUSH_ROUNDS)
+
+
+def ppr_push_mass(spark, folder):
+    """Mass of every customer's walk: what its ranks account for, and the rest."""
+    _, mass = push.push_walks(_baskets(spark, folder), n=1, most=PUSH_ROUNDS)
+    share = lambda c: (F.col(c) / F.lit(float(push.MASS))).alias(c)
+    return mass.select(F.col("seed").alias("user"), share("units"), share("left"), "at_rest")
+
+
+def eval_ppr_push(spark, folder):
+    train, test = splits.train_test(_rates(spark, folder), 1, 10)
+    recs = materialize(push.recommend_by_push(train, RECOMMENDATIONS, most=PUSH_ROUNDS), "recs")
+    return ev.evaluate(recs, train, test, RECOMMENDATIONS)
+
+
 QUERIES: dict[str, Query] = {
     "interactions_raw": interactions_raw,
     "interactions_preview": interactions_preview,
@@ -403,4 +425,7 @@ QUERIES: dict[str, Query] = {
     "ppr_recommend_topn": ppr_recommend_topn,
     "recommendations_roundtrip": recommendations_roundtrip,
     "eval_ppr": eval_ppr,
+    "ppr_push_recommend": ppr_push_recommend,
+    "ppr_push_mass": ppr_push_mass,
+    "eval_ppr_push": eval_ppr_push,
 }
