@@ -5,19 +5,29 @@ items, ``k`` being the number of items the two users share. Instead of joining
 item pairs with user pairs, the shared items of each user pair are gathered
 once: their count is ``k`` and their pairs are the contributions.
 
+Items that a good part of all users have are packed into words of bits. Two users
+meet once per word that both have something of, k is a count of common bits, and
+what a pair of words gives to its item pairs is a product of bit matrices. All
+other items are words of one item. So two long histories of popular items cost
+a few rows per user pair, and rare items cost what they did.
+
 Each user has a *top*: the item of its history that most users have, under one
-order of all items. At an item, users whose top it is are not paired with each
-other. Two users with two shared items still meet, as only one shared item can
-be the top of both; their tops tell whether one more is shared. So the most
-popular items, whose users mostly have them as their top, are not enumerated,
-and there is no limit on how many items that is.
+order of all items. At a word, users who have only their top of it are not
+paired with each other. Two users with two shared items still meet, as only one
+shared item can be the top of both; their tops tell whether one more is shared.
+So the most popular items, whose users mostly have them as their top, are not
+enumerated, and there is no limit on how many items that is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinis.functions.fixedpoint import exact_sum, from_units, to_units
@@ -25,9 +35,15 @@ from affinis.operators.itemcf import symmetric
 from affinis.operators.pairs import BLOCK_SIZE, member_pairs
 from affinis.operators.prepare import LIST_SPAN
 from affinis.operators.topk import best_first, top_k
-from affinis.session import stack
+from affinis.session import materialize, stack
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _USERS = ["user_a", "user_b"]
+#: Bits of a word, and the part of all users from which on an item is one: below, pairing users by word makes more rows.
+WORD, DENSE_SHARE = 64, 8
+#: Rows of a product of bit matrices, and products that a task holds.
+PRODUCT_ROWS, HELD_PRODUCTS = 10_000, 1_000
 
 
 def user_cooccurrence(baskets: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
@@ -56,55 +72,150 @@ def shared_users(baskets: DataFrame, block_size: int = BLOCK_SIZE, span: int = L
     )
 
 
-def with_top(baskets: DataFrame) -> DataFrame:
-    """``baskets`` with ``_top``, the item of each user's history that most users have; the higher id of equal ones."""
-    users = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("_users"))
-    tops = baskets.join(users, "item").groupBy("user").agg(F.max(F.struct("_users", "item"))["item"].alias("_top"))
-    return baskets.join(tops, "user")
+def item_words(baskets: DataFrame, share: int = DENSE_SHARE) -> DataFrame:
+    """``(item, word, bit)`` of the items that more than one in ``share`` users have.
 
+    There are at most ``share`` times as many as a history is long on average, so one task numbers them.
+    """
+    users = baskets.select("user").distinct().count()
+    popular = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") * share > users)
+    place = F.row_number().over(Window.orderBy("item")) - 1
+    return popular.select("item", place.alias("_place")).select(
+        "item", F.floor(F.col("_place") / WORD).alias("word"), (F.col("_place") % WORD).cast("int").alias("bit")
+    )
 
-def linked_item_pairs(
-    baskets: DataFrame, payload: Sequence[str] = (), per_item: Sequence[str] = (), block_size: int = BLOCK_SIZE
-) -> DataFrame:
-    """One row per item pair of every user pair that shares two items or more.
 
-    Columns are ``item_i < item_j``, ``user_a < user_b``, ``k`` (all shared items),
-    both users' ``payload`` (``_a``, ``_b``) and both items' ``per_item`` columns
-    (``_i``, ``_j``). Shared items are counted per user pair before any item pair
-    is made, and user pairs that share one item only end there.
+def user_words(baskets: DataFrame, words: DataFrame, payload: Sequence[str] = ()) -> DataFrame:
+    """``(user, dense, word, bits, top)``: what each user has of each word, and its top.
+
+    A popular item is a bit of a dense word, any other item is a word of its own with one bit.
+    ``top`` is the word with the most popular item of the user's history, or NULL
+    if the user has a second item of that word. Columns of ``payload`` belong to the user.
+    """
+    users = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("_n"))
+    placed = baskets.join(users, "item").join(words, "item", "left")
+    best = F.struct("_n", "item").alias("_best")
+    single = placed.where("word IS NULL").select("user", *payload, F.lit(False).alias("dense"), F.col("item").alias("word"), F.lit(1).cast("bigint").alias("bits"), best)
+    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))
+    dense = placed.where("word IS NOT NULL").groupBy("user", *payload, "word")
+    dense = dense.agg(F.bit_or(mask).alias("bits"), F.max(F.struct("_n", "item")).alias("_best"))
+    rows = stack(single, dense.select("user", *payload, F.lit(True), "word", "bits", "_best"))
+    top = F.max_by(F.struct("dense", "word", "bits"), "_best")
+    tops = rows.groupBy("user").agg(top.alias("_t")).select("user", F.when(F.bit_count("_t.bits") == 1, F.col("_t")).alias("top"))
+    return rows.drop("_best").join(tops, "user")
+
+
+def shared_words(baskets: DataFrame, words: DataFrame, payload: Sequence[str] = (), block_size: int = BLOCK_SIZE) -> DataFrame:
+    """One row per two users that share two items or more: ``user_a < user_b, k``, payload of both, and ``words``.
+
+    ``words`` holds the bits that both have of each word. Users meet once per word,
+    not once per item, so two users with hundreds of popular items in common meet
+    a few times. At a word, users who have nothing of it but their top are not paired
+    with each other: they share one item there at most, their tops tell which, and with two shared
+    items they meet at another word.
     """
-    carry = [*payload, "_top", *per_item]
-    members = with_top(baskets)
-    if per_item:  # what belongs to the top has to be known where the top is not enumerated
-        of_item = baskets.select(F.col("item").alias("_top"), *[F.col(c).alias(f"_top_{c}") for c in per_item]).distinct()
-        members, carry = members.join(of_item, "_top"), carry + [f"_top_{c}" for c in per_item]
-    links = member_pairs(members, "item", "user", carry, block_size, F.col("item") == F.col("_top"))
+    members = user_words(baskets, words, payload)
+    inert = F.coalesce((F.col("dense") == F.col("top.dense")) & (F.col("word") == F.col("top.word")), F.lit(False))
+    links = member_pairs(members, ["dense", "word"], "user", ["bits", "top", *payload], block_size, inert)
     sides = [f"{p}_{side}" for p in payload for side in "ab"]
-    own = [F.col(f"{c}_a").alias(c) for c in per_item]
-    same_top = F.col("_top_a") == F.col("_top_b")
-    tops = [F.when(same_top, F.col("_top_a")).alias("_both"), *[F.col(f"_top_{c}_a").alias(f"_top_{c}") for c in per_item]]
-    links = links.select(*_USERS, "item", *sides, *own, *tops)
-
-    item = F.struct("item", *per_item)
-    top = F.struct(F.col("_both").alias("item"), *[F.col(f"_top_{c}").alias(c) for c in per_item])
+    both = F.when(F.col("top_a") == F.col("top_b"), F.col("top_a")).alias("_both")
+    shared = F.col("bits_a").bitwiseAND(F.col("bits_b")).alias("bits")
+    links = links.select(*_USERS, "dense", "word", shared, both, *sides).where("bits <> 0")
     gathered = links.groupBy(*_USERS).agg(
-        F.collect_list(item).alias("_links"),
-        F.max(F.when(F.col("_both").isNotNull(), top)).alias("_more"),
+        F.collect_list(F.struct("dense", "word", "bits")).alias("_links"),
+        F.max("_both").alias("_both"),
         *[F.max(c).alias(c) for c in sides],
     )
-    shared = F.when(F.col("_more").isNull(), F.col("_links")).otherwise(F.concat("_links", F.array("_more")))
-    gathered = gathered.withColumn("_items", F.array_sort(shared)).withColumn("k", F.size("_items")).where("k > 1")
-    first = gathered.select(*_USERS, *sides, "k", "_items", F.posexplode("_items").alias("_at", "_i"))
-    rest = F.slice("_items", F.col("_at") + 2, F.col("k"))
-    pairs = first.select(*_USERS, *sides, "k", "_i", F.explode(rest).alias("_j"))
-    return pairs.select(
-        F.col("_i.item").alias("item_i"),
-        F.col("_j.item").alias("item_j"),
-        *_USERS,
-        "k",
-        *sides,
-        *[F.col(f"_{x}.{c}").alias(f"{c}_{x}") for c in per_item for x in "ij"],
-    )
+    words_of = F.when(F.col("_both").isNull(), F.col("_links")).otherwise(F.concat("_links", F.array("_both")))
+    counted = gathered.select(*_USERS, *sides, F.array_sort(words_of).alias("words"))
+    k = F.aggregate("words", F.lit(0), lambda total, w: total + F.bit_count(w["bits"]))
+    return counted.withColumn("k", k).where("k > 1")
+
+
+def _bits(words: np.ndarray) -> np.ndarray:
+    octets = np.ascontiguousarray(words).view(np.uint8).reshape(-1, 8)
+    return np.unpackbits(octets, axis=1, bitorder="little").astype(np.float64)
+
+
+def _expanded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of units and user pairs per item pair, from pairs of words of which the second is dense.
+
+    For two dense words that is a product of their bit matrices. Sums of a batch
+    are whole doubles below 2^53 (10,000 rows of at most 1e10 each), so they are exact.
+    """
+    held: dict[tuple[int, int], list[np.ndarray]] = {}
+
+    def table(dense: bool, wa, ia, wb, ib, units, n) -> pa.RecordBatch:
+        columns = [np.full(len(wa), dense), wa, ia.astype(np.int32), wb, ib.astype(np.int32), units, n]
+        names = ["dense", "word_a", "bit_a", "word_b", "bit_b", "units", "n"]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for (a, b), (units, n) in held.items():
+            i, j = np.nonzero(np.triu(n, 1) if a == b else n)
+            yield table(True, np.full(len(i), a), i, np.full(len(i), b), j, units[i, j], n[i, j])
+        held.clear()
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, PRODUCT_ROWS):
+            part = batch.slice(at, PRODUCT_ROWS)
+            wa, ba, wb, bb, units = (part.column(c).to_numpy() for c in ("wa", "ba", "wb", "bb", "units"))
+            dense = part.column("da").to_numpy(zero_copy_only=False)
+            pairs, which = np.unique(np.stack([wa[dense], wb[dense]]), axis=1, return_inverse=True)
+            order = np.argsort(which.reshape(-1), kind="stable")
+            cuts = np.searchsorted(which.reshape(-1)[order], np.arange(pairs.shape[1] + 1))
+            for (a, b), start, end in zip(pairs.T.tolist(), cuts, cuts[1:]):
+                rows = np.flatnonzero(dense)[order[start:end]]
+                left, right = _bits(ba[rows]), _bits(bb[rows])
+                total = held.setdefault((a, b), [np.zeros((WORD, WORD), np.int64) for _ in range(2)])
+                total[0] += ((left * units[rows, None]).T @ right).astype(np.int64)
+                total[1] += (left.T @ right).astype(np.int64)
+            if len(held) > HELD_PRODUCTS:
+                yield from flush()
+            if not dense.all():  # a word of one item with a dense one
+                row, bit = np.nonzero(_bits(bb[~dense]))
+                if len(row):
+                    single, word, amount = wa[~dense][row], wb[~dense][row], units[~dense][row]
+                    order = np.lexsort((bit, word, single))
+                    single, word, bit, amount = single[order], word[order], bit[order], amount[order]
+                    new = np.append(True, (single[1:] != single[:-1]) | (word[1:] != word[:-1]) | (bit[1:] != bit[:-1]))
+                    begin = np.flatnonzero(new)
+                    counts = np.diff(np.append(begin, len(bit)))
+                    yield table(False, single[begin], np.zeros(len(begin)), word[begin], bit[begin], np.add.reduceat(amount, begin), counts)
+    yield from flush()
+
+
+def _item_pair_terms(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """``(item_i, item_j, units, n)`` in any number of rows per item pair, from ``words`` and ``units`` of user pairs."""
+    first = pairs.select("units", "words", F.posexplode("words").alias("_at", "_a"))
+    # a dense word is also paired with itself
+    rest = F.slice("words", F.col("_at") + F.when(F.col("_a.dense"), 1).otherwise(2), F.size("words"))
+    both = first.select("units", "_a", F.explode(rest).alias("_b"))
+    item_i, item_j = F.col("_a.word").alias("item_i"), F.col("_b.word").alias("item_j")
+    # words of one item come before dense ones
+    single = both.where(~F.col("_b.dense")).select(item_i, item_j, "units", F.lit(1).cast("bigint").alias("n"))
+    if words.isEmpty():
+        return single
+    fields = [F.col(f"_{x}.{f}").alias(f"{f[0]}{x}") for x in "ab" for f in ("dense", "word", "bits")]
+    packed = both.where(F.col("_b.dense")).select(*fields, "units")
+    schema = "dense boolean, word_a bigint, bit_a int, word_b bigint, bit_b int, units bigint, n bigint"
+    sums = packed.select("da", "wa", "ba", "wb", "bb", "units").mapInArrow(_expanded, schema)
+    for x in "ab":
+        names = words.select(F.col("word").alias(f"word_{x}"), F.col("bit").alias(f"bit_{x}"), F.col("item").alias(f"item_{x}"))
+        sums = sums.join(names, [f"word_{x}", f"bit_{x}"], "left")
+    one = F.when(F.col("dense"), F.col("item_a")).otherwise(F.col("word_a"))
+    decoded = sums.select(F.least(one, "item_b"), F.greatest(one, "item_b"), "units", "n")
+    return stack(single, decoded)
+
+
+def linked_item_pairs(baskets: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
+    """``(item_i < item_j, user_a < user_b, k)``: one row per item pair of every user pair that shares two items or more."""
+    no_words = item_words(baskets, 0)
+    pairs = shared_words(baskets, no_words, (), block_size)
+    first = pairs.select(*_USERS, "k", "words", F.posexplode("words").alias("_at", "_i"))
+    rest = F.slice("words", F.col("_at") + 2, F.col("k"))
+    both = first.select(*_USERS, "k", "_i", F.explode(rest).alias("_j"))
+    return both.select(F.col("_i.word").alias("item_i"), F.col("_j.word").alias("item_j"), *_USERS, "k")
 
 
 def quadruples(baskets: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
@@ -127,6 +238,7 @@ def swing_pairs(
     per_item: Sequence[str] = (),
     min_support: int = 1,
     block_size: int = BLOCK_SIZE,
+    share: int = DENSE_SHARE,
 ) -> DataFrame:
     """Swing score of every item pair with at least two shared users, as exact ``units``.
 
@@ -135,7 +247,8 @@ def swing_pairs(
     ``per_item`` names columns of ``baskets`` that depend on the item only; they
     come out as ``<name>_i`` and ``<name>_j``. ``min_support`` keeps item pairs
     with that many shared users (all items count for k, so none is left out before).
-    Input is unique on (user, item).
+    Items that more than one in ``share`` users have are bits of words, see
+    ``shared_words``; that changes the work, not the scores. Input is unique on (user, item).
     """
     payload: tuple[str, ...] = ()
     if user_weight is not None:
@@ -143,19 +256,25 @@ def swing_pairs(
             raise ValueError(f"unknown user weight: {user_weight}")
         weights = baskets.groupBy("user").agg((F.lit(1.0) / F.sqrt(F.count(F.lit(1)))).alias("_w"))
         baskets, payload = baskets.join(weights, "user"), ("_w",)
+    words = materialize(item_words(baskets, share), "words")
+    pairs = shared_words(baskets.select("user", "item", *payload), words, payload, block_size)
     strength = F.col("_w_a") * F.col("_w_b") if payload else F.lit(1.0)
-    terms = linked_item_pairs(baskets, payload, per_item, block_size)
-    terms = terms.withColumn("_units", to_units(strength / (F.lit(alpha) + F.col("k"))))
-    ends = [f"{c}_{x}" for c in per_item for x in "ij"]
-    sums = terms.groupBy("item_i", "item_j").agg(
-        exact_sum(F.col("_units")).alias("units"), F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in ends]
-    )
+    pairs = pairs.select("words", to_units(strength / (F.lit(alpha) + F.col("k"))).alias("units"))
+    if not words.isEmpty():  # read by both kinds of words
+        pairs = materialize(pairs, "shared-words")
+    terms = _item_pair_terms(pairs, words)
+    sums = terms.groupBy("item_i", "item_j").agg(exact_sum(F.col("units")).alias("units"), F.sum("n").alias("_n"))
     # c shared users make c (c - 1) / 2 user pairs, so support needs no table of its own.
     enough = min_support * (min_support - 1) // 2
     if enough > 1:
         sums = sums.where(F.col("_n") >= enough)
     times = 2 if counting == "ordered" else 1
-    return sums.select("item_i", "item_j", (F.col("units") * times).cast("decimal(38,0)").alias("units"), *ends)
+    sums = sums.select("item_i", "item_j", (F.col("units") * times).cast("decimal(38,0)").alias("units"))
+    if per_item:
+        of_item = baskets.select("item", *per_item).distinct()
+        for x in "ij":
+            sums = sums.join(of_item.select(F.col("item").alias(f"item_{x}"), *[F.col(c).alias(f"{c}_{x}") for c in per_item]), f"item_{x}")
+    return sums
 
 
 def scaled(sums: DataFrame, weight: str) -> DataFrame:

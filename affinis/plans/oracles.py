@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from affinis.plans.queries import FOLDS, MAX_TEST, PUSH_ROUNDS
+from affinis.plans.queries import FOLDS, MAX_TEST, PUSH_ROUNDS, WALK_ROUNDS
 
 #: 0.8^94 is the first even power of 0.8 below 1e-9.
 MOVES = 94
@@ -150,7 +150,7 @@ degree AS (SELECT src AS v, count(*) AS deg FROM edge GROUP BY src)"""
 TRANSITION = f"{EDGES},{DEGREE},\ntransition AS (SELECT src, dst, 1e0 / deg AS w FROM edge JOIN degree ON v = src)"
 
 
-def _walk(t: str, seed: str, start: str) -> str:
+def _walk(t: str, seed: str, start: str, moves: int = MOVES) -> str:
     """The walk by its definition, one move at a time, from all ``seed`` of ``t``; state tables s0, s1, ...
 
     Vertex numbers: item i is i, user u is -1 - u. x has settled, w waits.
@@ -161,7 +161,7 @@ link AS (SELECT DISTINCT -1 - u AS src, i AS dst FROM {t} UNION ALL SELECT DISTI
 degree AS (SELECT src AS v, count(*) AS deg FROM link GROUP BY src)""",
         f"s0 AS (SELECT DISTINCT {seed} AS seed, {start} AS v, 0e0 AS x, 1e0 AS w FROM {t})",
     ]
-    for n in range(1, MOVES + 1):
+    for n in range(1, moves + 1):
         parts.append(
             f"""s{n} AS MATERIALIZED (
   SELECT seed, v, sum(x) AS x, sum(w) AS w FROM (
@@ -354,6 +354,8 @@ SELECT CASE kind WHEN 0 THEN 'u:' ELSE 'i:' END || id AS vertex,
        row_number() OVER (ORDER BY kind, id) - 1 AS idx FROM vertex""",
     "ppr_iterate": f"""WITH {DENSE},{ITEM_WALK}
 SELECT seed, round(sum(x), 8) AS settled, round(sum(w), 8) AS waiting FROM {LAST} GROUP BY seed""",
+    "ppr_moves": f"""WITH {DENSE},{_walk('rates', 'i', 'i', 2 * WALK_ROUNDS)}
+SELECT seed, v AS item, round(x, 9) AS settled, round(w, 9) AS waiting FROM s{2 * WALK_ROUNDS} WHERE v >= 0""",
     "ppr_converged": f"""WITH {DENSE},{ITEM_WALK},
 named AS (SELECT seed, {VERTEX} AS vertex, x AS score FROM {LAST})
 SELECT seed, vertex, round(score, 6) AS score, CAST(n AS INTEGER) AS rank

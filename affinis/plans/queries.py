@@ -19,6 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 FOLDS = 5
 MAX_TEST = 1000
 PUSH_ROUNDS = 30
+WALK_ROUNDS = 10
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -302,6 +303,14 @@ def ppr_iterate(spark, folder):
     return _shown(_shown(walk.mass(walk.item_walks(baskets), baskets), "settled", 8), "waiting", 8)
 
 
+def ppr_moves(spark, folder):
+    """What has settled in items and what waits there after ten double moves from every item, the walk by its definition."""
+    baskets = _event_baskets(spark, folder)
+    seeds = baskets.select(F.col("item").alias("seed")).distinct().select("seed", F.col("seed").alias("vertex"))
+    state = walk.walk(seeds, walk.item_moves(baskets), 1 - walk.ALPHA, walk.ALPHA**2, WALK_ROUNDS)
+    return _shown(_shown(state.withColumnRenamed("vertex", "item"), "settled", 9), "waiting", 9)
+
+
 def ppr_converged(spark, folder):
     """The 100 vertices of highest rank in every item's walk."""
     baskets = _event_baskets(spark, folder)
@@ -419,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "ppr_system_matrix": ppr_system_matrix,
     "ppr_vertex_index": ppr_vertex_index,
     "ppr_iterate": ppr_iterate,
+    "ppr_moves": ppr_moves,
     "ppr_converged": ppr_converged,
     "ppr_dense_converged": ppr_dense_converged,
     "ppr_residual": ppr_residual,

@@ -29,6 +29,28 @@ def test_tops_and_blocks_do_not_change_scores(spark, block_size):
     assert scores(rates_frame(spark, rates).select("user", "item"), block_size=block_size) == brute_swing(rates)
 
 
+@pytest.mark.parametrize("share", [0, 2, 8, 10**6])
+def test_words_of_popular_items_do_not_change_scores(spark, share):
+    """With a large share every item is a bit, and they fill several words."""
+    rng = random.Random(share)
+    rates = {(u, i): 1.0 for u in range(30) for i in rng.sample(range(150), rng.choice([3, 20, 100]))}
+    rates |= {(u, 7): 1.0 for u in range(0, 30, 2)}
+    frame = rates_frame(spark, rates).select("user", "item")
+    assert scores(frame, share=share) == brute_swing(rates)
+    support = {}
+    for h in histories(rates).values():
+        for pair in combinations(sorted(h), 2):
+            support[pair] = support.get(pair, 0) + 1
+    assert scores(frame, share=share, min_support=4) == {p: s for p, s in brute_swing(rates).items() if support[p] >= 4}
+
+
+def test_large_item_numbers_and_many_batches(spark, monkeypatch):
+    monkeypatch.setattr(swing, "PRODUCT_ROWS", 7)
+    monkeypatch.setattr(swing, "HELD_PRODUCTS", 1)
+    rates = {(u - 3, i * 2**55): 1.0 for u, i in skewed_rates(7)}
+    assert scores(rates_frame(spark, rates).select("user", "item"), share=20) == brute_swing(rates)
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_zipf_items(spark, seed):
     rng = random.Random(seed)
@@ -40,8 +62,12 @@ def test_users_of_their_top_are_not_paired_with_each_other(spark):
     frame = spark.range(3000).selectExpr("id AS user", "0L AS item")
     frame = frame.union(spark.createDataFrame([(0, 1), (1, 1), (2, 1)], "user BIGINT, item BIGINT"))
     assert swing.linked_item_pairs(frame).count() == 3
-    rows = swing.with_top(frame)
-    assert {r._top for r in rows.collect()} == {0}
+    for share in (0, 8, 5000):  # the hot item as a word of its own, as a bit, and both items as bits of one word
+        words = swing.item_words(frame, share)
+        rows = swing.user_words(frame, words).groupBy("top").count().collect()
+        tops = {None if r.top is None else (r.top.dense, r.top.bits): r["count"] for r in rows}
+        assert tops == [{(False, 1): 3003}, {(True, 1): 3003}, {(True, 1): 2997, None: 3}][[0, 8, 5000].index(share)]
+        assert swing.shared_words(frame, words).count() == 3
 
 
 def test_few_items(spark):
