@@ -86,23 +86,26 @@ def item_words(baskets: DataFrame, share: int = DENSE_SHARE) -> DataFrame:
 
 
 def user_words(baskets: DataFrame, words: DataFrame, payload: Sequence[str] = ()) -> DataFrame:
-    """``(user, dense, word, bits, top)``: what each user has of each word, and its top.
+    """``(user, dense, word, bits, is_top, top)``: what each user has of each word, and its top.
 
     A popular item is a bit of a dense word, any other item is a word of its own with one bit.
-    ``top`` is the word with the most popular item of the user's history, or NULL
-    if the user has a second item of that word. Columns of ``payload`` belong to the user.
+    ``top`` is the most popular item of the user's history, or NULL if the user
+    has a second item of its word; ``is_top`` marks that word. Columns of ``payload`` belong to the user.
     """
     users = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("_n"))
     placed = baskets.join(users, "item").join(words, "item", "left")
-    best = F.struct("_n", "item").alias("_best")
-    single = placed.where("word IS NULL").select("user", *payload, F.lit(False).alias("dense"), F.col("item").alias("word"), F.lit(1).cast("bigint").alias("bits"), best)
-    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))
-    dense = placed.where("word IS NOT NULL").groupBy("user", *payload, "word")
-    dense = dense.agg(F.bit_or(mask).alias("bits"), F.max(F.struct("_n", "item")).alias("_best"))
-    rows = stack(single, dense.select("user", *payload, F.lit(True), "word", "bits", "_best"))
-    top = F.max_by(F.struct("dense", "word", "bits"), "_best")
-    tops = rows.groupBy("user").agg(top.alias("_t")).select("user", F.when(F.bit_count("_t.bits") == 1, F.col("_t")).alias("top"))
-    return rows.drop("_best").join(tops, "user")
+    one, best = F.lit(1).cast("bigint"), F.struct("_n", "item").alias("_best")
+    rows = placed.where("word IS NULL").select("user", *payload, F.lit(False).alias("dense"), F.col("item").alias("word"), one.alias("bits"), best)
+    if not words.isEmpty():
+        mask = F.call_function("shiftleft", one, F.col("bit"))
+        dense = placed.where("word IS NOT NULL").groupBy("user", *payload, "word")
+        dense = dense.agg(F.bit_or(mask).alias("bits"), F.max(F.struct("_n", "item")).alias("_best"))
+        rows = stack(rows, dense.select("user", *payload, F.lit(True), "word", "bits", "_best"))
+    tops = rows.groupBy("user").agg(F.max(F.struct("_best", "bits")).alias("_t"))
+    alone = F.bit_count("_t.bits") == 1
+    tops = tops.select(F.col("user"), F.when(alone, F.col("_t._best.item")).alias("top"))
+    is_top = F.coalesce(F.col("_best.item") == F.col("top"), F.lit(False)).alias("is_top")
+    return rows.join(tops, "user").select("user", *payload, "dense", "word", "bits", is_top, "top")
 
 
 def shared_words(baskets: DataFrame, words: DataFrame, payload: Sequence[str] = (), block_size: int = BLOCK_SIZE) -> DataFrame:
@@ -112,24 +115,35 @@ def shared_words(baskets: DataFrame, words: DataFrame, payload: Sequence[str] =
     not once per item, so two users with hundreds of popular items in common meet
     a few times. At a word, users who have nothing of it but their top are not paired
     with each other: they share one item there at most, their tops tell which, and with two shared
-    items they meet at another word.
+    items they meet at another word. Where no item is popular, no bits are carried.
     """
-    members = user_words(baskets, words, payload)
-    inert = F.coalesce((F.col("dense") == F.col("top.dense")) & (F.col("word") == F.col("top.word")), F.lit(False))
-    links = member_pairs(members, ["dense", "word"], "user", ["bits", "top", *payload], block_size, inert)
+    members, packed = user_words(baskets, words, payload), not words.isEmpty()
+    keys, carried = (["dense", "word"], ["bits"]) if packed else (["word"], [])
+    links = member_pairs(members, keys, "user", [*carried, "top", *payload], block_size, F.col("is_top"))
     sides = [f"{p}_{side}" for p in payload for side in "ab"]
     both = F.when(F.col("top_a") == F.col("top_b"), F.col("top_a")).alias("_both")
-    shared = F.col("bits_a").bitwiseAND(F.col("bits_b")).alias("bits")
-    links = links.select(*_USERS, "dense", "word", shared, both, *sides).where("bits <> 0")
+    shared = [F.col("bits_a").bitwiseAND(F.col("bits_b")).alias("bits")] if packed else []
+    links = links.select(*_USERS, *keys, *shared, both, *sides)
+    links = links.where("bits <> 0") if packed else links
+    count = F.sum(F.bit_count("bits")) if packed else F.count(F.lit(1))
     gathered = links.groupBy(*_USERS).agg(
-        F.collect_list(F.struct("dense", "word", "bits")).alias("_links"),
+        F.collect_list(F.struct(*keys, *carried)).alias("_links"),
+        count.cast("int").alias("_k"),
         F.max("_both").alias("_both"),
         *[F.max(c).alias(c) for c in sides],
     )
-    words_of = F.when(F.col("_both").isNull(), F.col("_links")).otherwise(F.concat("_links", F.array("_both")))
-    counted = gathered.select(*_USERS, *sides, F.array_sort(words_of).alias("words"))
-    k = F.aggregate("words", F.lit(0), lambda total, w: total + F.bit_count(w["bits"]))
-    return counted.withColumn("k", k).where("k > 1")
+    gathered = gathered.withColumn("k", F.col("_k") + F.col("_both").isNotNull().cast("int")).where("k > 1")
+    entry = lambda dense, word, bits: F.struct(dense.alias("dense"), word.alias("word"), bits.alias("bits"))
+    none, one = F.lit(False), F.lit(1).cast("bigint")
+    if packed:
+        gathered = gathered.join(words.withColumnRenamed("item", "_both"), "_both", "left")
+        mask = F.call_function("shiftleft", one, F.col("bit"))
+        top = F.when(F.col("word").isNull(), entry(none, F.col("_both"), one)).otherwise(entry(~none, F.col("word"), mask))
+        found = F.col("_links")
+    else:
+        top, found = entry(none, F.col("_both"), one), F.transform("_links", lambda w: entry(none, w["word"], one))
+    everything = F.when(F.col("_both").isNull(), found).otherwise(F.concat(found, F.array(top)))
+    return gathered.select(*_USERS, *sides, "k", F.array_sort(everything).alias("words"))
 
 
 def _bits(words: np.ndarray) -> np.ndarray:
