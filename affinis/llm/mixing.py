@@ -139,7 +139,8 @@ def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_copi
     same = F.col("held_digest") == F.col("digest")
     for c in key:
         same &= F.col(c).eqNullSafe(F.col(f"k_{c}"))
-    met = held.join(taken, same)
+    # counts are small rows: hashed, so that texts need not be sorted to meet them
+    met = held.join(taken.hint("shuffle_hash"), same)
     nth = F.row_number().over(Window.partitionBy("held_digest", *key).orderBy("rows"))
     numbered = stack(
         met.where("rows = 1").withColumn("nth", F.lit(1)),
