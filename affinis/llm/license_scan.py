@@ -1,15 +1,18 @@
 """License scan: ordered signature rules on word sequences, with DataFrame functions only.
 
-A document in which no form of a sentence has its own literals (``GATE``) is
-passed over. The others are reduced to words, and each rule whose keywords occur
-runs its regular expression over the words. A detection that lies inside another one of the same
+A document without any of the words in ``QUICK``, or without any of the phrases
+in ``GATES``, of which each match of a rule has one, is passed over. The others
+are reduced to words, and each rule whose keywords occur runs its regular
+expression over the words. A detection that lies inside another one of the same
 or a higher priority is suppressed, so "licensed under the gnu lesser general
 public license" is not reported once more as the general public license. The
-three base phrases are never suppressed.
+three base phrases and the operands of SPDX expressions are never suppressed.
 
-The rules are made from license names and sentence forms, in order of priority.
+The rules are signatures written by hand, of license texts, notices, titles and
+SPDX expressions (``license_signatures``), and beside them sentence forms with
+license names, all in order of priority.
 
-Defined cases: a NULL text has no words, score 0 and empty labels; ties between
+Defined cases: a very long text is scanned whole, rule by rule, and held once as words; a NULL text has no words, score 0 and empty labels; ties between
 equal intervals go to the rule that comes first; equal rows give equal results;
 an empty table gives no rows; columns other than ``doc_id`` and ``text`` are not
 looked at.
@@ -23,7 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinis.llm.common import NOT_LOWER_WORD, lower_ascii, regex_spans
+from affinis.llm import license_signatures
+from affinis.llm.common import NOT_LOWER_WORD, let, lower_ascii, regex_spans
 from affinis.session import materialize
 
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -41,6 +45,7 @@ class Signature:
     confidence: float
     base: bool = False
     also: tuple[str, ...] = ("",)
+    operand: bool = False
 
 
 # The phrases of the base, and the names under which public licenses are known.
@@ -106,14 +111,31 @@ FORMS = (
 
 
 #: Each match of a rule has one of these: the word where its form asks for it, otherwise a phrase of the form itself.
-GATES = ("licen", "cc by", "released under", "distributed under", "published under", "available under", "under the terms of")
+GATES = (
+    "licen", "cc by", "released under", "distributed under", "published under", "available under", "under the terms of",
+    "permission", "redistribut", "public domain", "free software", "copyright", "without restriction", "notice the name",
+    "endorse or promote", "advertising materials", "grants to you", "terms and conditions", "verbatim copies", "not distributed with",
+    "held liable", "source versions must", "any source distribution", "reference library is", "package may be copied", "anyone is free",
+    "you just do", "a beer in return", "creative commons", "extent possible", "product includes", "neither the names", "for good not evil",
+    "unicode data files", "charityware", "confidential and proprietary", "strictly prohibited", "publicdomain", "gpl",
+)
+#: The longest word of each gate, for a search without expressions.
+QUICK = tuple(sorted({max(g.split(), key=len) for g in GATES}))
 GATE = "(?i)" + "|".join(g.replace(" ", BETWEEN) for g in GATES)
 
 
 def signatures() -> tuple[Signature, ...]:
-    """Base phrases first, then every form with every name, best form first."""
+    """Base phrases first, then written signatures, then every form with every name, best form first."""
     whole = "(?<= ){}(?= )".format
     rules = [Signature(label, (phrase,), whole(phrase), 0, 1.0, True) for label, phrase in BASE]
+    spdx = ("spdx license identifier ",)
+    rules += [Signature(label, spdx, whole(p), 1, 1.0, operand=True) for label, p in license_signatures.spdx_rules()]
+    for priority, confidence, table in (
+        (1, 0.95, license_signatures.lines(license_signatures.TEXTS)),
+        (2, 0.95, license_signatures.identifiers()),
+        (3, 0.85, license_signatures.lines(license_signatures.TITLES)),
+    ):
+        rules += [Signature(label, (keyword,), whole(f"(?:{p})"), priority, confidence) for label, keyword, p in table]
     for priority, confidence, also, form in FORMS:
         for label, keywords, name in NAMES:
             pattern = whole(form.format(f"(?:{name})"))
@@ -132,9 +154,9 @@ def _blanks(text: Column) -> Column:
 
 
 def detections(words: Column, rules: tuple[Signature, ...]) -> Column:
-    """``array<struct<start, end, priority, place, label, confidence, base>>`` in words, ends exclusive."""
+    """``array<struct<start, end, priority, place, label, confidence, base, operand>>`` in words, ends exclusive."""
     # one literal instead of some thousand columns
-    fields = "keywords array<string>, pattern string, label string, priority int, place int, confidence double, base boolean, also array<string>"
+    fields = "keywords array<string>, pattern string, label string, priority int, place int, confidence double, base boolean, operand boolean, also array<string>"
     rows = [vars(r) | {"place": place} for place, r in enumerate(rules)]
     table = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{fields.replace(' ', ':').replace(',:', ',')}>>")
     one_of = lambda parts: F.exists(parts, lambda p: F.contains(words, p))
@@ -152,6 +174,7 @@ def detections(words: Column, rules: tuple[Signature, ...]) -> Column:
                     r["label"].alias("label"),
                     r["confidence"].alias("confidence"),
                     r["base"].alias("base"),
+                    r["operand"].alias("operand"),
                 ),
             ),
         )
@@ -160,7 +183,9 @@ def detections(words: Column, rules: tuple[Signature, ...]) -> Column:
 
 def detect(docs: DataFrame, rules: tuple[Signature, ...] | None = None) -> DataFrame:
     """``(doc_id, digest, found)`` of each different document that has detections."""
-    suspects = docs.where(F.col("text").rlike(GATE))
+    some = F.array(*[F.lit(w) for w in QUICK])
+    quick = let(F.lower("text"), lambda low: F.exists(some, lambda w: F.contains(low, w)))
+    suspects = docs.where(quick & F.col("text").rlike(GATE))
     suspects = suspects.select("doc_id", F.xxhash64("text").alias("digest"), words_of(F.col("text")).alias("words"))
     # written, or the optimizer puts the making of the words into every rule
     suspects = materialize(suspects, "license-words")
@@ -184,7 +209,7 @@ def unsuppressed(found: DataFrame) -> DataFrame:
     for p in levels:
         reach = F.max(F.when(F.col("priority") <= p, F.col("end"))).over(order)
         covered = covered | ((F.col("priority") == p) & F.coalesce(reach >= F.col("end"), F.lit(False)))
-    return rows.withColumn("covered", covered).where("base or not covered")
+    return rows.withColumn("covered", covered).where("base or operand or not covered")
 
 
 def scan_licenses(docs: DataFrame, rules: tuple[Signature, ...] | None = None) -> DataFrame:
