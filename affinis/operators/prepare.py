@@ -5,12 +5,13 @@ The canonical schema is ``user BIGINT, item BIGINT, rate DOUBLE, ts``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinis.session import stack
 
 LIST_SPAN = 4096
+SKETCH_BITS = 14
 
 
 def max_rate(interactions: DataFrame) -> DataFrame:
@@ -40,6 +41,26 @@ def members_index(interactions: DataFrame, key: str, member: str, span: int = LI
     )
 
 
+def distinct_sketches(interactions: DataFrame, by: Column, bits: int = SKETCH_BITS) -> DataFrame:
+    """``(part, n_rows, users, items)`` for each value of ``by``: rows, and sketches of the distinct users and items.
+
+    Sketches of parts that have been stored add up to those of all: a new day is one
+    more row, and no other day is read again. The relative standard error is about 1.04 / sqrt(2^bits).
+    """
+    return interactions.groupBy(by.alias("part")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.hll_sketch_agg("user", F.lit(bits)).alias("users"),
+        F.hll_sketch_agg("item", F.lit(bits)).alias("items"),
+    )
+
+
+def profile_of_sketches(sketches: DataFrame) -> DataFrame:
+    """One row as ``dataset_profile``, but ``n_rows`` counts repeated rows and distinct counts are estimates."""
+    estimate = lambda c: F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(c)), F.lit(0)).cast("bigint")
+    rows = F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint")
+    return sketches.agg(rows.alias("n_rows"), estimate("users").alias("n_users"), estimate("items").alias("n_items"))
+
+
 def dataset_profile(interactions: DataFrame) -> DataFrame:
     """One row: interactions, users, items.
 

@@ -139,6 +139,11 @@ counts AS (
 PRECISION = "hits / CAST(nullif(slots, 0) AS DOUBLE) AS precision"
 RECALL = "hits / CAST(nullif(test_items, 0) AS DOUBLE) AS recall"
 COVERAGE = "recommended_items / CAST(nullif(train_items, 0) AS DOUBLE) AS coverage"
+def _percent(metric: str) -> str:
+    value, name = metric.rsplit(" AS ", 1)
+    return f"round_even({value} * 100, 4) || '%' AS {name}"
+
+
 ALL_METRICS = f"""SELECT hits, slots, test_items, recommended_items, train_items,
   {PRECISION}, {RECALL}, {COVERAGE} FROM counts"""
 
@@ -370,6 +375,31 @@ part AS (
 SELECT seed, round(max(abs(r)), 8) AS residual FROM (SELECT seed, v, sum(x) AS r FROM part GROUP BY seed, v) GROUP BY seed""",
     "ppr_recommend_topn": f"WITH {DENSE},{_walk_recs('rates')} {SHOW_WALK_RECS}",
     "recommendations_roundtrip": f"WITH {DENSE},{_walk_recs('rates')} {SHOW_WALK_RECS}",
+    "dim_users_file": """SELECT c_custkey AS "user", CAST(18 + c_custkey % 60 AS INTEGER) AS age,
+  CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender, c_mktsegment AS occupation, c_name AS zip FROM customer""",
+    "dim_lists_file": """SELECT 'genre' AS kind, n_name AS name, CAST(n_nationkey AS BIGINT) AS n FROM nation
+UNION ALL SELECT DISTINCT 'occupation', c_mktsegment, CAST(NULL AS BIGINT) FROM customer
+UNION ALL SELECT 'total', 'nations', count(*) FROM nation UNION ALL SELECT 'total', 'customers', count(*) FROM customer""",
+    "dim_items_file": """SELECT p_partkey AS item, p_name AS title, p_type AS url,
+  array_to_string(list_filter(range(19), lambda i: p_partkey % 19 = i OR p_size % 19 = i), ',') AS genres FROM part""",
+    "interactions_ingest": f"""WITH {RAW},
+told AS (SELECT CASE WHEN i % 61 = 1 THEN CASE WHEN u % 77 = 0 THEN 'blank' ELSE 'fields' END
+                     WHEN u % 77 = 0 THEN 'user' WHEN i % 50 = 0 THEN 'item' WHEN r = 13 THEN 'rate' ELSE 'none' END AS problem FROM raw)
+SELECT problem, count(*) AS n FROM told GROUP BY problem
+UNION ALL SELECT 'lines', count(*) FROM told UNION ALL SELECT 'kept', count(*) FROM told WHERE problem = 'none'
+UNION ALL SELECT 'rejected', count(*) FROM told WHERE problem <> 'none'""",
+    "split_leave_n_file_order": f"""WITH {RATES},
+placed AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY md5(u || ':' || i)) AS p FROM rates)
+SELECT u AS "user", i AS item, r AS rate, CASE WHEN p <= 10 THEN 'test' ELSE 'train' END AS part FROM placed""",
+    "split_kfold_file_order": f"""WITH {RATES},
+placed AS (SELECT *, row_number() OVER (ORDER BY md5(u || ':' || i)) AS p, count(*) OVER () AS total FROM rates)
+SELECT u AS "user", i AS item, r AS rate,
+       CAST((p - 1) // ((total + {FOLDS - 1}) // {FOLDS}) + 1 AS INTEGER) AS fold FROM placed""",
+    "split_sorted_write": f"""WITH {RATES}
+SELECT u AS "user", i AS item, row_number() OVER (ORDER BY u, i) AS position FROM rates""",
+    "dataset_profile_sketches": f"WITH {RAW} SELECT count(*) AS n_rows, true AS users_close, true AS items_close FROM raw",
+    "recommend_bucketed_roundtrip": f"WITH {RATES},{_cosine('rates')},{COSINE_TOP},{_recs('rates', 'm.s')} {SHOW_RECS}",
+    "eval_percent": f"{EVAL_COSINE} SELECT {', '.join(map(_percent, (PRECISION, RECALL, COVERAGE)))} FROM counts",
     "ppr_push_recommend": f"""WITH {RATES},{_push_recs('rates')}
 SELECT u AS "user", i AS item, CAST(units AS DOUBLE) / {MASS}e0 AS score, n AS rank,
        CAST(CASE WHEN at_rest THEN least(rest, {PRUNED} * deg) ELSE rest END AS DOUBLE) / {MASS}e0 AS error

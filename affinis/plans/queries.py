@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.functions.fixedpoint import from_units
 from affinis.operators import evaluate as ev
 from affinis.operators import itemcf, prepare, push, splits, swing, topk, walk
 from affinis.operators.recommend import RECOMMENDATIONS, recommend
-from affinis.session import materialize, new_path
-from affinis.sources import dimensions, interactions, model_store
+from affinis.session import materialize, new_path, stack
+from affinis.sources import bucketed, dimensions, interactions, model_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -374,6 +374,117 @@ def eval_ppr_push(spark, folder):
     return ev.evaluate(recs, train, test, RECOMMENDATIONS)
 
 
+# --- files as sources and sinks ----------------------------------------------------------------
+
+
+def _text(df: DataFrame, path: str, *columns: Column, sep: str = "|") -> str:
+    """Write columns as delimited lines; NULL is an empty field."""
+    fields = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    df.select(F.concat_ws(sep, *fields).alias("value")).write.text(path)
+    return path
+
+
+def dim_users_file(spark, folder):
+    """Customers as a demographic file: age and gender made of their number, segment as occupation, name as zip code."""
+    customer = spark.read.parquet(f"{folder}/customer.parquet")
+    key = F.col("c_custkey")
+    fields = [key, 18 + key % 60, F.when(key % 2 == 0, "F").otherwise("M"), F.col("c_mktsegment"), F.col("c_name")]
+    return dimensions.read_users(spark, _text(customer, new_path(spark, "users"), *fields))
+
+
+def dim_lists_file(spark, folder):
+    """Nations as genres, segments as occupations, and totals of tables, each from a file of its own."""
+    nation, customer = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("nation", "customer"))
+    genres = dimensions.read_genres(spark, _text(nation, new_path(spark, "genres"), F.col("n_name"), F.col("n_nationkey")))
+    jobs = customer.select("c_mktsegment").distinct()
+    jobs = dimensions.read_occupations(spark, _text(jobs, new_path(spark, "jobs"), F.col("c_mktsegment")))
+    counted = stack(*[t.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(x)) for t, x in ((nation, "nations"), (customer, "customers"))])
+    totals = dimensions.read_totals(spark, _text(counted.toDF("n", "label"), new_path(spark, "totals"), F.col("n"), F.col("label"), sep=" "))
+    kind = lambda k: F.lit(k).alias("kind")
+    return stack(
+        genres.select(kind("genre"), F.col("genre").alias("name"), F.col("idx").cast("bigint").alias("n")),
+        jobs.select(kind("occupation"), "occupation", F.lit(None).cast("bigint")),
+        totals.select(kind("total"), "label", "n"),
+    )
+
+
+def dim_items_file(spark, folder):
+    """Parts as an item file with a flag per genre, read as the list of their genres."""
+    part = spark.read.parquet(f"{folder}/part.parquet")
+    flag = lambda i: ((F.col("p_partkey") % 19 == i) | (F.col("p_size") % 19 == i)).cast("int")
+    fields = [F.col("p_partkey"), F.col("p_name"), F.lit("01-Jan-1995"), F.lit(""), F.col("p_type"), *[flag(i) for i in range(19)]]
+    items = dimensions.read_items(spark, _text(part, new_path(spark, "items"), *fields))
+    return items.select("item", "title", "url", F.concat_ws(",", F.col("genres").cast("array<string>")).alias("genres"))
+
+
+def interactions_ingest(spark, folder):
+    """Lines by what is wrong with them, of a file in which some have no item, user, rate or second field."""
+    rows = _orders(spark, folder)
+    item = F.when(F.col("item") % 50 == 0, F.concat(F.lit("x"), F.col("item"))).otherwise(F.col("item").cast("string"))
+    user = F.when(F.col("user") % 77 == 0, "").otherwise(F.col("user").cast("string"))
+    rate = F.when(F.col("rate") == 13, "?").otherwise(F.col("rate").cast("string"))
+    line = F.concat_ws("\t", user, item, rate, F.unix_timestamp("ts").cast("string"))
+    path = new_path(spark, "lines")
+    rows.select(F.when(F.col("item") % 61 == 1, user).otherwise(line).alias("value")).write.text(path)
+    got = interactions.ingest_ratings(spark, path, new_path(spark, "ingested"))
+    found = got.bad.groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
+    good = got.good.agg(F.lit("none").alias("problem"), F.count(F.lit(1)).alias("n"))
+    told = spark.createDataFrame([("lines", got.lines), ("kept", got.kept), ("rejected", got.rejected)], "problem STRING, n BIGINT")
+    return stack(found, good, told)
+
+
+def _in_file_order(spark, folder):
+    """Ratings read from files whose lines are in an order of their own, by a digest."""
+    rates = _rates(spark, folder)
+    path = new_path(spark, "ordered")
+    digest = F.md5(F.concat_ws(":", F.col("user").cast("string"), F.col("item").cast("string")))
+    line = F.concat_ws("\t", *[F.col(c).cast("string") for c in ("user", "item", "rate")], F.unix_timestamp("ts").cast("string"))
+    ordered = rates.select(line.alias("value"), digest.alias("d")).repartitionByRange("d").sortWithinPartitions("d")
+    ordered.select("value").write.text(path)
+    return materialize(interactions.read_ratings_in_order(spark, path), "ordered")
+
+
+def split_leave_n_file_order(spark, folder):
+    labelled = splits.leave_n(_in_file_order(spark, folder), 1, 10, order=("position",))
+    return labelled.select("user", "item", "rate", "part")
+
+
+def split_kfold_file_order(spark, folder):
+    return splits.k_fold(_in_file_order(spark, folder), FOLDS, ("position",)).select("user", "item", "rate", "fold")
+
+
+def split_sorted_write(spark, folder):
+    """Positions of rows in files that have been written in order of user and item."""
+    path = new_path(spark, "sorted")
+    splits.write_sorted(_baskets(spark, folder), path)
+    return interactions.in_source_order(spark, path, "parquet").select("user", "item", "position")
+
+
+def dataset_profile_sketches(spark, folder):
+    """Distinct users and items from stored sketches of months, and whether they are within four hundredths of the truth."""
+    rows = _orders(spark, folder)
+    sketches = materialize(prepare.distinct_sketches(rows, F.trunc("ts", "month")), "sketches")
+    exact = prepare.dataset_profile(rows).select(F.col("n_users").alias("users"), F.col("n_items").alias("items"))
+    told = prepare.profile_of_sketches(sketches).select("n_rows", "n_users", "n_items", F.lit(1).alias("one"))
+    both = told.join(exact.withColumn("one", F.lit(1)), "one")
+    close = lambda c, x: (F.abs(F.col(c) - F.col(x)) * 100 <= 4 * F.col(x)).alias(f"{x}_close")
+    return both.select("n_rows", close("n_users", "users"), close("n_items", "items"))
+
+
+def recommend_bucketed_roundtrip(spark, folder):
+    """Recommendations from a stored model, stored by user and read again, both in buckets."""
+    rates = _rates(spark, folder)
+    model = bucketed.write_bucketed(_cosine_model(rates), new_path(spark, "model-buckets"), "item_i", "rank")
+    path = new_path(spark, "recs-buckets")
+    bucketed.write_bucketed(recommend(rates, model, RECOMMENDATIONS), path, "user", "rank")
+    return bucketed.open_bucketed(spark, path)
+
+
+def eval_percent(spark, folder):
+    """Metrics of the item model as they are printed."""
+    return ev.as_percent(ev.evaluate(*_held_out(spark, folder, _cosine_model), RECOMMENDATIONS))
+
+
 QUERIES: dict[str, Query] = {
     "interactions_raw": interactions_raw,
     "interactions_preview": interactions_preview,
@@ -438,4 +549,14 @@ QUERIES: dict[str, Query] = {
     "ppr_push_recommend": ppr_push_recommend,
     "ppr_push_mass": ppr_push_mass,
     "eval_ppr_push": eval_ppr_push,
+    "dim_users_file": dim_users_file,
+    "dim_lists_file": dim_lists_file,
+    "dim_items_file": dim_items_file,
+    "interactions_ingest": interactions_ingest,
+    "split_leave_n_file_order": split_leave_n_file_order,
+    "split_kfold_file_order": split_kfold_file_order,
+    "split_sorted_write": split_sorted_write,
+    "dataset_profile_sketches": dataset_profile_sketches,
+    "recommend_bucketed_roundtrip": recommend_bucketed_roundtrip,
+    "eval_percent": eval_percent,
 }

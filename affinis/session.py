@@ -4,13 +4,23 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir``, or else the session's warehouse folder."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return configured.rstrip("/")
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or else the session's warehouse folder.
+
+    On a cluster that folder has to be named: a warehouse on the local disk would be another one on each machine.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    files, _ = _file_system(spark, warehouse)
+    if files.getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -24,6 +34,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def publish(spark: SparkSession, built: str, path: str) -> bool:
+    """Move the folder ``built`` to ``path`` in one step; if something is there already, ``built`` goes and the answer is no."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    _, source = _file_system(spark, built)
+    files, target = _file_system(spark, path)
+    files.mkdirs(target.getParent())
+    rename = getattr(hadoop, "Options$Rename")
+    never_replace = spark.sparkContext._gateway.new_array(rename, 1)
+    never_replace[0] = rename.valueOf("NONE")
+    try:
+        hadoop.FileContext.getFileContext(files.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(source, target, never_replace)
+    except Py4JJavaError:
+        if not files.exists(target):
+            raise
+        files.delete(source, True)
+        return False
+    return True
+
+
 def job_dir(spark: SparkSession) -> str:
     """The folder of this application's tables; it goes when the application ends."""
     path = f"{shared_dir(spark)}/affinis-{spark.sparkContext.applicationId}"

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Callable
 from typing import Any
 
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.operators.topk import ranked_map
-from affinis.session import exists, shared_dir
+from affinis.session import exists, publish, shared_dir
 
 MODEL_SCHEMA = "item_i BIGINT, item_j BIGINT, sim DOUBLE, rank INT"
 
@@ -80,15 +81,16 @@ def compute_or_load(
 ) -> DataFrame:
     """The stored model for exactly these rows, name, version and parameters, built and stored if there is none.
 
-    Raise ``version`` with every change of ``build``. A small marker table is
-    written after the model, so a half-written model (a driver lost midway) is
-    never taken for a finished one; one that cannot be read is an error.
+    Raise ``version`` with every change of ``build``. A model is built in a folder
+    of its own and published by one rename, which fails if the model is there by
+    then. So a half-written model (a driver lost midway) is never taken for a
+    finished one, and of two builders at once the later one reads what the first has published.
     """
     spark = rows.sparkSession
     key = fingerprint(rows, {"model": model, "version": version, "params": params})
-    base = f"{root or shared_dir(spark)}/models/{key}"
-    if not exists(spark, f"{base}/done/_SUCCESS"):
-        save_table(build(rows), f"{base}/model", "item_i")
-        stored = spark.read.schema(MODEL_SCHEMA).parquet(f"{base}/model")
-        stored.agg(F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{base}/done")
-    return spark.read.schema(MODEL_SCHEMA).parquet(f"{base}/model")
+    path = f"{root or shared_dir(spark)}/models/{key}"
+    if not exists(spark, path):
+        built = f"{root or shared_dir(spark)}/models-in-work/{key}-{uuid.uuid4().hex}"
+        save_table(build(rows), built, "item_i")
+        publish(spark, built, path)
+    return spark.read.schema(MODEL_SCHEMA).parquet(path)
