@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlsplit
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,8 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    files, _ = _file_system(spark, warehouse)
-    if files.getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+    scheme = urlsplit(warehouse).scheme or _file_system(spark, warehouse)[0].getScheme()
+    if scheme == "file" and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return warehouse
 

@@ -11,7 +11,9 @@ QUICK = [
     "itemcf_cosine_topk", "itemcf_rawproduct_topk", "itemcf_pearson_topk", "itemcf_item_moments", "swing_topk",
     "swing_alpha1_top50", "swing_firstseen_topk", "swing_weighted_topk", "swing_dense_topk", "sim_model_map",
     "sim_model_roundtrip", "recommend_itemcf_pearson", "eval_swing", "ppr_system_matrix", "ppr_vertex_index",
-    "ppr_iterate", "eval_ppr",
+    "ppr_iterate", "eval_ppr", "ppr_moves", "ppr_push_recommend", "ppr_push_mass", "eval_ppr_push", "dim_users_file",
+    "dim_lists_file", "dim_items_file", "interactions_ingest", "split_leave_n_file_order", "split_kfold_file_order",
+    "split_sorted_write", "dataset_profile_sketches", "recommend_bucketed_roundtrip", "eval_percent",
 ]
 
 pytestmark = pytest.mark.skipif(not Path(SMOKE_DIR).exists(), reason="test tables are not present")
