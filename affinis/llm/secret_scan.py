@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from affinis.llm.common import regex_spans
 
 MAX_STRINGS = 64
+#: Trigrams of an alternative that the index is asked for; more of one word hardly rule out more documents.
+ASKED_TRIGRAMS = 4
 
 
 @dataclass(frozen=True)
@@ -62,6 +64,22 @@ RULES = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("pem", r"-----BEGIN (?:RSA |EC |DSA |OPENSSH |ENCRYPTED )?PRIVATE KEY-----"),
     Rule("bearer", r"[Bb]earer [A-Za-z0-9._~+/-]{20,}"),
+    Rule("session", r"ASIA[A-Z0-9]{16,}"),
+    Rule("github_pat", r"github_pat_[A-Za-z0-9_]{22,}"),
+    Rule("sendgrid", r"SG\.[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{32,}"),
+    Rule("shopify", r"shp(?:at|ca|pa|ss)_[A-Fa-f0-9]{32,}"),
+    Rule("digitalocean", r"do[opr]_v1_[a-f0-9]{64,}"),
+    Rule("slack_hook", r"https://hooks\.slack\.com/services/[A-Za-z0-9/]{20,}"),
+    Rule("discord_hook", r"https://discord(?:app)?\.com/api/webhooks/[0-9]+/[A-Za-z0-9_-]{20,}"),
+    Rule("telegram", r"[0-9]{8,10}:AA[A-Za-z0-9_-]{32,}"),
+    Rule("mailgun", r"key-[0-9a-f]{32,}"),
+    Rule("square", r"sq0(?:atp|csp)-[A-Za-z0-9_-]{22,}"),
+    Rule("pypi", r"pypi-AgEI[A-Za-z0-9_-]{50,}"),
+    Rule("huggingface", r"hf_[A-Za-z0-9]{30,}"),
+    Rule("azure", r"AccountKey=[A-Za-z0-9+/=]{40,}"),
+    Rule("newrelic", r"NRAK-[A-Z0-9]{27,}"),
+    Rule("linear", r"lin_api_[A-Za-z0-9]{40,}"),
+    Rule("url", r"[a-z][a-z0-9+.-]{1,15}://[^\s:/@]+:[^\s:/@]{3,}@[A-Za-z0-9.-]+"),
 )
 
 
@@ -69,8 +87,12 @@ def trigram_query(pattern: str) -> list[list[frozenset[str]]]:
     """Mandatory trigrams: all groups hold, a group by one of its alternatives, an alternative by all of its trigrams."""
     groups: list[list[frozenset[str]]] = []
 
+    def asked(s: str) -> frozenset[str]:
+        n = len(s) - 2
+        return frozenset(s[i * (n - 1) // (ASKED_TRIGRAMS - 1) :][:3] if n > ASKED_TRIGRAMS else s[i : i + 3] for i in range(min(n, ASKED_TRIGRAMS)))
+
     def close(strings: set[str]) -> None:
-        ways = [frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in strings]
+        ways = [asked(s) for s in strings]
         if ways and all(ways):
             groups.append(sorted(set(ways), key=sorted))
 

@@ -13,6 +13,10 @@ TEXTS = [
     "ghp_" + "a1" * 18 + " and AKIAshort and " + "f" * 23 + " " + "0" * 24 + "g",
     "\U0001f600 token=é token= abcdef\ntoken=abcdefg",
     "no secrets here",
+    f"ASIA{'A1' * 8} github_pat_{'a_' * 12} SG.{'a-' * 9}.{'b_' * 17} shpca_{'0aF' * 11} dop_v1_{'0f' * 32}",
+    f"https://hooks.slack.com/services/{'T0/' * 8} https://discordapp.com/api/webhooks/12/{'x-' * 11} 123456789:AA{'z_' * 16}",
+    f"key-{'0a' * 16} sq0csp-{'a-' * 12} pypi-AgEI{'c_' * 26} hf_{'Q9' * 16} AccountKey={'a+/=' * 10} NRAK-{'A0' * 14}",
+    f"lin_api_{'b1' * 20} postgres://user:pass@db.example.org/x https://user@host http://a:b@c ftp://me:secret@h",
 ]
 
 
@@ -117,3 +121,9 @@ def test_slots_do_not_change_the_mix(documents, monkeypatch):
         (d, t // (1 + d % 9)) for d, t in whole if t
     ]
     assert mixing.mix(documents([])).count() == 0
+
+
+def test_every_rule_has_a_sample():
+    """Each shape occurs in the texts that are compared with Python's engine."""
+    found = {kind for kind, p in secret_scan.compiled().items() if any(p.search(t) for t in TEXTS)}
+    assert {r.kind for r in secret_scan.RULES} - found <= {"gitlab", "slack", "google", "stripe", "npm", "jwt", "pem", "bearer"}
