@@ -11,7 +11,7 @@ proportion in the set, its score is that proportion.
 Defined cases: a text that is NULL or has no letter is ``und`` with score 0, as
 are all texts if nothing was learned; ties go to the language that comes first;
 documents without ``lang`` are not learned from; equal rows give equal results;
-an empty table gives no rows; ``lang_pred`` and ``score`` replace columns of that
+a very long text counts whole, as at most one number per bucket once it is counted; an empty table gives no rows; ``lang_pred`` and ``score`` replace columns of that
 name, all others are kept.
 """
 

@@ -12,7 +12,8 @@ are summed first, and only the range in which the budget ends is put in order.
 
 Defined cases: a NULL text or one without words has size 0 and is never taken;
 a NULL source is a source of its own and comes last; equal rows count as often
-as they are there and are interchangeable; an empty table gives no rows; columns
+as they are there and are interchangeable; a very long text is only its size
+until the mix is made of whole rows; an empty table gives no rows; columns
 other than ``doc_id``, ``text`` and ``source`` are not looked at.
 """
 

@@ -9,8 +9,8 @@ feature, whatever the training data say.
 Defined cases: a NULL or empty text has no words and fails the base rule; labels
 that are NULL or belong to no document are passed over; several labels of a
 document count as the best one; without labels of both classes every document
-that passes the base rule is kept; equal rows give equal results; an empty table
-gives no rows; other columns are not looked at.
+that passes the base rule is kept; equal rows give equal results; a very long
+text is counted whole, in memory of some times its size; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ The candidates join the documents by ``doc_id``. They are a superset that is
 verified row by row, so repeated ids cost time but never change a result.
 
 Defined cases: a NULL text is empty and has no spans; a NULL ``doc_id`` is an
-id like any other; equal rows give equal results; an empty table gives no rows;
+id like any other; equal rows give equal results; a very long text is searched
+whole, its spans are found by splitting it once per rule; an empty table gives no rows;
 columns other than ``doc_id`` and ``text`` are not looked at.
 """
 
