@@ -27,6 +27,7 @@ HEADLINE = [
     "recommend_swing",
     "eval_swing",
     "ppr_iterate",
+    "ppr_push_recommend",
 ]
 
 
