@@ -72,33 +72,40 @@ def shared_users(baskets: DataFrame, block_size: int = BLOCK_SIZE, span: int = L
     )
 
 
-def item_words(baskets: DataFrame, share: int = DENSE_SHARE) -> DataFrame:
-    """``(item, word, bit)`` of the items that more than one in ``share`` users have.
+def item_counts(baskets: DataFrame) -> DataFrame:
+    """``(item, _n)``: users of each item; written, as several steps read it."""
+    return materialize(baskets.groupBy("item").agg(F.count(F.lit(1)).alias("_n")), "item-counts")
 
-    There are at most ``share`` times as many as a history is long on average, so one task numbers them.
+
+def item_words(baskets: DataFrame, counts: DataFrame, share: int = DENSE_SHARE) -> DataFrame | None:
+    """``(item, word, bit)`` of the items that more than about one in ``share`` users have; None if there are none.
+
+    There are at most some ``share`` times as many as a history is long on average, so one task numbers them.
     """
-    users = baskets.select("user").distinct().count()
-    popular = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") * share > users)
+    users = baskets.agg(F.approx_count_distinct("user")).first()[0]
+    popular = counts.where(F.col("_n") * share > users)
+    if popular.isEmpty():
+        return None
     place = F.row_number().over(Window.orderBy("item")) - 1
-    return popular.select("item", place.alias("_place")).select(
-        "item", F.floor(F.col("_place") / WORD).alias("word"), (F.col("_place") % WORD).cast("int").alias("bit")
-    )
+    placed = popular.select("item", place.alias("_place"))
+    word, bit = F.floor(F.col("_place") / WORD).alias("word"), (F.col("_place") % WORD).cast("int").alias("bit")
+    return materialize(placed.select("item", word, bit), "words")
 
 
-def user_words(baskets: DataFrame, words: DataFrame, payload: Sequence[str] = ()) -> DataFrame:
+def user_words(baskets: DataFrame, counts: DataFrame, words: DataFrame | None, payload: Sequence[str] = ()) -> DataFrame:
     """``(user, dense, word, bits, is_top, top)``: what each user has of each word, and its top.
 
     A popular item is a bit of a dense word, any other item is a word of its own with one bit.
     ``top`` is the most popular item of the user's history, or NULL if the user
     has a second item of its word; ``is_top`` marks that word. Columns of ``payload`` belong to the user.
     """
-    users = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("_n"))
-    placed = baskets.join(users, "item").join(words, "item", "left")
+    placed = baskets.join(counts, "item")
     one, best = F.lit(1).cast("bigint"), F.struct("_n", "item").alias("_best")
-    rows = placed.where("word IS NULL").select("user", *payload, F.lit(False).alias("dense"), F.col("item").alias("word"), one.alias("bits"), best)
-    if not words.isEmpty():
+    single = placed if words is None else placed.join(words, "item", "left_anti")
+    rows = single.select("user", *payload, F.lit(False).alias("dense"), F.col("item").alias("word"), one.alias("bits"), best)
+    if words is not None:
         mask = F.call_function("shiftleft", one, F.col("bit"))
-        dense = placed.where("word IS NOT NULL").groupBy("user", *payload, "word")
+        dense = placed.join(words, "item").groupBy("user", *payload, "word")
         dense = dense.agg(F.bit_or(mask).alias("bits"), F.max(F.struct("_n", "item")).alias("_best"))
         rows = stack(rows, dense.select("user", *payload, F.lit(True), "word", "bits", "_best"))
     tops = rows.groupBy("user").agg(F.max(F.struct("_best", "bits")).alias("_t"))
@@ -108,7 +115,9 @@ def user_words(baskets: DataFrame, words: DataFrame, payload: Sequence[str] = ()
     return rows.join(tops, "user").select("user", *payload, "dense", "word", "bits", is_top, "top")
 
 
-def shared_words(baskets: DataFrame, words: DataFrame, payload: Sequence[str] = (), block_size: int = BLOCK_SIZE) -> DataFrame:
+def shared_words(
+    baskets: DataFrame, counts: DataFrame, words: DataFrame | None, payload: Sequence[str] = (), block_size: int = BLOCK_SIZE
+) -> DataFrame:
     """One row per two users that share two items or more: ``user_a < user_b, k``, payload of both, and ``words``.
 
     ``words`` holds the bits that both have of each word. Users meet once per word,
@@ -117,7 +126,7 @@ def shared_words(baskets: DataFrame, words: DataFrame, payload: Sequence[str] =
     with each other: they share one item there at most, their tops tell which, and with two shared
     items they meet at another word. Where no item is popular, no bits are carried.
     """
-    members, packed = user_words(baskets, words, payload), not words.isEmpty()
+    members, packed = user_words(baskets, counts, words, payload), words is not None
     keys, carried = (["dense", "word"], ["bits"]) if packed else (["word"], [])
     links = member_pairs(members, keys, "user", [*carried, "top", *payload], block_size, F.col("is_top"))
     sides = [f"{p}_{side}" for p in payload for side in "ab"]
@@ -199,7 +208,7 @@ def _expanded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def _item_pair_terms(pairs: DataFrame, words: DataFrame) -> DataFrame:
+def _item_pair_terms(pairs: DataFrame, words: DataFrame | None) -> DataFrame:
     """``(item_i, item_j, units, n)`` in any number of rows per item pair, from ``words`` and ``units`` of user pairs."""
     first = pairs.select("units", "words", F.posexplode("words").alias("_at", "_a"))
     # a dense word is also paired with itself
@@ -208,7 +217,7 @@ def _item_pair_terms(pairs: DataFrame, words: DataFrame) -> DataFrame:
     item_i, item_j = F.col("_a.word").alias("item_i"), F.col("_b.word").alias("item_j")
     # words of one item come before dense ones
     single = both.where(~F.col("_b.dense")).select(item_i, item_j, "units", F.lit(1).cast("bigint").alias("n"))
-    if words.isEmpty():
+    if words is None:
         return single
     fields = [F.col(f"_{x}.{f}").alias(f"{f[0]}{x}") for x in "ab" for f in ("dense", "word", "bits")]
     packed = both.where(F.col("_b.dense")).select(*fields, "units")
@@ -224,8 +233,7 @@ def _item_pair_terms(pairs: DataFrame, words: DataFrame) -> DataFrame:
 
 def linked_item_pairs(baskets: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     """``(item_i < item_j, user_a < user_b, k)``: one row per item pair of every user pair that shares two items or more."""
-    no_words = item_words(baskets, 0)
-    pairs = shared_words(baskets, no_words, (), block_size)
+    pairs = shared_words(baskets, item_counts(baskets), None, (), block_size)
     first = pairs.select(*_USERS, "k", "words", F.posexplode("words").alias("_at", "_i"))
     rest = F.slice("words", F.col("_at") + 2, F.col("k"))
     both = first.select(*_USERS, "k", "_i", F.explode(rest).alias("_j"))
@@ -270,11 +278,12 @@ def swing_pairs(
             raise ValueError(f"unknown user weight: {user_weight}")
         weights = baskets.groupBy("user").agg((F.lit(1.0) / F.sqrt(F.count(F.lit(1)))).alias("_w"))
         baskets, payload = baskets.join(weights, "user"), ("_w",)
-    words = materialize(item_words(baskets, share), "words")
-    pairs = shared_words(baskets.select("user", "item", *payload), words, payload, block_size)
+    counts = item_counts(baskets)
+    words = item_words(baskets, counts, share)
+    pairs = shared_words(baskets.select("user", "item", *payload), counts, words, payload, block_size)
     strength = F.col("_w_a") * F.col("_w_b") if payload else F.lit(1.0)
     pairs = pairs.select("words", to_units(strength / (F.lit(alpha) + F.col("k"))).alias("units"))
-    if not words.isEmpty():  # read by both kinds of words
+    if words is not None:  # read by both kinds of words
         pairs = materialize(pairs, "shared-words")
     terms = _item_pair_terms(pairs, words)
     sums = terms.groupBy("item_i", "item_j").agg(exact_sum(F.col("units")).alias("units"), F.sum("n").alias("_n"))

@@ -63,10 +63,11 @@ def test_users_of_their_top_are_not_paired_with_each_other(spark):
     frame = frame.union(spark.createDataFrame([(0, 1), (1, 1), (2, 1)], "user BIGINT, item BIGINT"))
     assert swing.linked_item_pairs(frame).count() == 3
     for share in (0, 8, 5000):  # the hot item as a word of its own, as a bit, and both items as bits of one word
-        words = swing.item_words(frame, share)
-        rows = swing.user_words(frame, words).groupBy("top").count().collect()
+        counts = swing.item_counts(frame)
+        words = swing.item_words(frame, counts, share)
+        rows = swing.user_words(frame, counts, words).groupBy("top").count().collect()
         assert {r.top: r["count"] for r in rows} == [{0: 3003}, {0: 3003}, {0: 2997, None: 3}][[0, 8, 5000].index(share)]
-        assert swing.shared_words(frame, words).count() == 3
+        assert swing.shared_words(frame, counts, words).count() == 3
 
 
 def test_few_items(spark):
