@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinis.llm.blocks import PACKED, document_blocks, mixed, packed_rows, part_keys, unpacked
-from affinis.llm.common import partitions, whole_row
+from affinis.llm.common import partitions, release_shuffles, whole_row
 from affinis.llm.components import components
 from affinis.operators.pairs import spread
 from affinis.session import materialize, stack
@@ -345,6 +345,7 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     stars = materialize(keyed.mapInArrow(_stars, "key bigint, head bigint, node bigint, own boolean"), "stars")
     profiles = classes.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("profile").alias("profile"))
     profiles = materialize(profiles, "profiles")
+    release_shuffles(spark)
 
     def near(pairs: DataFrame) -> DataFrame:
         for x in "ab":
@@ -355,6 +356,8 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
         pairs = materialize(pairs, "pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         ids = classes.select("node", "doc_id").join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("id"))
+        # written, so that the planner sees its true size: texts are only shuffled to meet it if it is no small table
+        ids = materialize(ids, "ids")
         known = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "text")
         known = materialize(known.mapInArrow(_texts, "node bigint, text string").dropDuplicates(["node"]), "texts")
         for x in "ab":
@@ -363,6 +366,7 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
 
     links = similar(near(stars.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()))
     roots = components(links)
+    release_shuffles(spark)
 
     # second round: members of a key that the first round left in different components
     def rooted(rows: DataFrame, column: str, name: str) -> DataFrame:
@@ -375,11 +379,13 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     others = marked.groupBy("key").agg((F.min("root") != F.max("root")).alias("several"))
     members = marked.join(others.where("several").select("key"), "key", "left_semi").select("key", "node", "root", "own")
     members = materialize(members, "open")
+    release_shuffles(spark)
     code = F.col("key") * 2 + F.col("own").cast("bigint")
     keys = members.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(code)), 1, SKETCH).alias("keys"))
     members = spread(members.join(profiles, "node").join(keys, "node"), ["key"], "node", GROUP)
     members = members.repartition(n, "key", "_low", "_high").sortWithinPartitions("key", "_low", "_high")
     more = similar(members.mapInArrow(_apart, PAIRS).distinct())
+    release_shuffles(spark)
     if not more.isEmpty():
         roots = components(stack(links, more))
 
