@@ -58,7 +58,7 @@ def test_odd_rows_and_one_of_each(documents):
     assert len(got) == len(ODD)
     assert all(r.component_id == r.doc_id for r in got if r.n_shingles == 0)
     rows = near_copies(random.Random(3), 3)
-    kept = ngram_join.one_of_each(documents(rows, extra=False)).collect()
+    kept = ngram_join.one_of_each(documents(rows)).collect()
     assert sorted(r.doc_id for r in kept) == sorted({c for _, _, c in brute_classes(rows)})
     assert ngram_join.similarity_classes(documents([])).count() == 0
 
