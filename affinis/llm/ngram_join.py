@@ -382,7 +382,8 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     release_shuffles(spark)
     code = F.col("key") * 2 + F.col("own").cast("bigint")
     keys = members.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(code)), 1, SKETCH).alias("keys"))
-    members = spread(members.join(profiles, "node").join(keys, "node"), ["key"], "node", GROUP)
+    # dealt into blocks while rows are narrow: profiles join them after that, and are shuffled once with them
+    members = spread(members, ["key"], "node", GROUP).join(profiles, "node").join(keys, "node")
     members = members.repartition(n, "key", "_low", "_high").sortWithinPartitions("key", "_low", "_high")
     more = similar(members.mapInArrow(_apart, PAIRS).distinct())
     release_shuffles(spark)
