@@ -356,8 +356,6 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
         pairs = materialize(pairs, "pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         ids = classes.select("node", "doc_id").join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("id"))
-        # written, so that the planner sees its true size: texts are only shuffled to meet it if it is no small table
-        ids = materialize(ids, "ids")
         known = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "text")
         known = materialize(known.mapInArrow(_texts, "node bigint, text string").dropDuplicates(["node"]), "texts")
         for x in "ab":
