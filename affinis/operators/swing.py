@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from affinis.functions.fixedpoint import exact_sum, from_units, to_units
 from affinis.operators.itemcf import symmetric
+from affinis.operators.pair_sums import pair_groups, pair_sums
 from affinis.operators.pairs import BLOCK_SIZE, member_pairs
 from affinis.operators.prepare import LIST_SPAN
 from affinis.operators.topk import best_first, top_k
@@ -48,27 +49,18 @@ PRODUCT_ROWS, HELD_PRODUCTS = 10_000, 1_000
 
 def user_cooccurrence(baskets: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     """Number of shared items for every user pair that shares one."""
-    pairs = member_pairs(baskets, "item", "user", (), block_size)
-    return pairs.groupBy(F.col("user_a").alias("user_u"), F.col("user_b").alias("user_v")).agg(
-        F.count(F.lit(1)).alias("k")
-    )
+    sums = pair_sums(baskets, "item", "user", block_size=block_size)
+    return sums.withColumnsRenamed({"item_i": "user_u", "item_j": "user_v", "value": "k"})
 
 
 def shared_users(baskets: DataFrame, block_size: int = BLOCK_SIZE, span: int = LIST_SPAN) -> DataFrame:
     """Users that have both items, per item pair, in segments of consecutive user ids."""
-    pairs = member_pairs(baskets, "user", "item", (), block_size)
-    segment = F.floor(F.col("user") / span).cast("bigint")
-    users = F.array_sort(F.collect_list("user"))
-    return (
-        pairs.groupBy(F.col("item_a").alias("item_i"), F.col("item_b").alias("item_j"), segment.alias("segment"))
-        .agg(users.alias("_users"))
-        .select(
-            "item_i",
-            "item_j",
-            "segment",
-            F.size("_users").alias("n"),
-            F.concat_ws(",", F.col("_users").cast("array<string>")).alias("users"),
-        )
+    return pair_groups(baskets, "user", "item", span, block_size).select(
+        "item_i",
+        "item_j",
+        "segment",
+        F.size("groups").alias("n"),
+        F.concat_ws(",", F.col("groups").cast("array<string>")).alias("users"),
     )
 
 
