@@ -127,3 +127,17 @@ def test_every_rule_has_a_sample():
     """Each shape occurs in the texts that are compared with Python's engine."""
     found = {kind for kind, p in secret_scan.compiled().items() if any(p.search(t) for t in TEXTS)}
     assert {r.kind for r in secret_scan.RULES} - found <= {"gitlab", "slack", "google", "stripe", "npm", "jwt", "pem", "bearer"}
+
+
+def test_homoglyphs_are_undone_and_texts_without_any_are_looked_at_once():
+    from timeit import repeat
+
+    from affinis.llm.pii import Tape, undo_homoglyphs
+
+    undo = undo_homoglyphs()
+    tape = undo(Tape.of("xé​а１z"))
+    assert (tape.text, list(tape.starts), list(tape.ends)) == ("xéa1z", [0, 1, 3, 4, 5], [1, 2, 4, 5, 6])
+    accented = Tape.of("Größe café señor " * 20_000)
+    assert undo(accented) is accented
+    look = min(repeat(lambda: set(accented.text), number=1, repeat=5))
+    assert min(repeat(lambda: undo(accented), number=1, repeat=5)) < 6 * look
