@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from affinis.functions.planes import Planes, decode, encode, from_steps, steps
 from affinis.operators.itemcf import item_weight
 from affinis.operators.pair_sums import dealt_lists, read_lists
+from affinis.operators.recommend import recommend
+from tests.conftest import rates_frame, skewed_rates
+from tests.test_pair_sums import plan
 
 
 @pytest.mark.parametrize(
@@ -40,3 +43,18 @@ def test_an_entry_of_a_list_is_a_few_bytes(spark):
     batches = blobs.select("lists").toArrow().to_batches()
     entries = sum(len(lists.ids) for lists in read_lists(batches, 3, 2))
     assert entries > 1_500_000 and size < 6 * entries
+
+
+@pytest.mark.parametrize("unseen", [False, True])
+def test_no_row_per_scored_item_is_shuffled(spark, unseen):
+    model = spark.createDataFrame([(0, 1, 0.5), (1, 0, 0.5)], "item_i BIGINT, item_j BIGINT, sim DOUBLE")
+    recs = recommend(rates_frame(spark, skewed_rates()), model, 7, unseen)
+    assert "hashpartitioning(user" not in plan(recs) and recs.count() > 0
+
+
+def test_recommendations_for_histories_of_unknown_items(spark):
+    model = spark.createDataFrame([(5, 6, 0.5)], "item_i BIGINT, item_j BIGINT, sim DOUBLE")
+    history = spark.createDataFrame([(1, 5), (1, 6), (2, 5), (3, 9)], "user BIGINT, item BIGINT")
+    got = sorted(map(tuple, recommend(history, model, 3, True).collect()))
+    assert got == [(2, 6, 0.5, 1)]
+    assert recommend(history, model.limit(0), 3).count() == 0 and recommend(history.limit(0), model, 3).count() == 0
