@@ -137,3 +137,25 @@ def test_small_inputs(spark):
     frame = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "user BIGINT, item BIGINT")
     assert scores(frame) == {}
     assert scores(frame.limit(0)) == {}
+
+
+def test_users_with_one_common_item_are_no_rows(spark):
+    """Where no item is popular, only users that share two items leave the task where they meet."""
+    baskets = rates_frame(spark, skewed_rates()).select("user", "item")
+    pairs = swing.shared_words(baskets, swing.item_counts(baskets), None, (), 5)
+    planned = pairs._jdf.queryExecution().executedPlan().toString()
+    assert not any(f"hashpartitioning({c}" in planned for c in ("user_a", "user_b"))
+    want = {}
+    for (u, a), (v, b) in combinations(sorted(histories(skewed_rates()).items()), 2):
+        if len(a & b) > 1:
+            want[u, v] = sorted(a & b)
+    assert {(r.user_a, r.user_b): [w.word for w in r.words] for r in pairs.collect()} == want
+
+
+@pytest.mark.parametrize("task_pairs", [5, 1000])
+def test_linked_users_when_members_are_dealt_out(spark, task_pairs):
+    baskets = rates_frame(spark, skewed_rates()).select("user", "item")
+    members = swing.user_words(baskets, swing.item_counts(baskets), None)
+    got = {(r.user_a, r.user_b): r.k for r in swing.linked_users(members, (), 7, task_pairs).collect()}
+    both = combinations(sorted(histories(skewed_rates()).items()), 2)
+    assert got == {(u, v): len(a & b) for (u, a), (v, b) in both if len(a & b) > 1}
