@@ -159,3 +159,25 @@ def test_linked_users_when_members_are_dealt_out(spark, task_pairs):
     got = {(r.user_a, r.user_b): r.k for r in swing.linked_users(members, (), 7, task_pairs).collect()}
     both = combinations(sorted(histories(skewed_rates()).items()), 2)
     assert got == {(u, v): len(a & b) for (u, a), (v, b) in both if len(a & b) > 1}
+
+
+@pytest.mark.parametrize("share,block_size,users", [(8, 5, 3), (3, 1000, 256), (10**6, 7, 2)])
+def test_users_of_popular_items_are_no_rows(spark, monkeypatch, share, block_size, users):
+    """Two users that share popular items only are written nowhere; scores and support are those of the definition."""
+    monkeypatch.setattr(swing, "DENSE_BLOCK", 1)
+    monkeypatch.setattr(swing, "PRODUCT_USERS", users)
+    rng, written = random.Random(share), []
+    rates = {(u, i): 1.0 for u in range(25) for i in rng.sample(range(70), 35)}
+    rates |= {(u, 100 + u // 3): 1.0 for u in range(25)} | {(u, 200 + u % 7): 1.0 for u in range(25)}
+    frame = rates_frame(spark, rates).select("user", "item")
+    keep = swing.materialize
+    monkeypatch.setattr(swing, "materialize", lambda df, label="table", **more: written.append((label, keep(df, label, **more))) or written[-1][1])
+    for weight in (None, "inverse_sqrt"):
+        written.clear()
+        got = scores(frame, share=share, block_size=block_size, user_weight=weight)
+        want = brute_swing(rates, weight=(lambda n: n**-0.5) if weight else (lambda n: 1.0))
+        assert got.keys() == want.keys() and all(abs(got[p] - want[p]) <= (300 if weight else 0) for p in want)
+        single = {i for i in {i for _, i in rates} if share * sum(j == i for _, j in rates) <= 25}
+        baskets = histories(rates)
+        met = sum(bool(a & b & single) for a, b in combinations(baskets.values(), 2))
+        assert sum(t.count() for label, t in written if label == "shared-words") == met
