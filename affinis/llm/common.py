@@ -28,15 +28,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Have the shuffle files of finished steps removed now.
-
-    Spark removes them once the driver's garbage collection finds their plans
-    gone; a job of many steps with a small driver rarely needs one, and would keep all of them to its end.
-    """
-    spark.sparkContext._jvm.System.gc()
-
-
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

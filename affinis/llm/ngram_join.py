@@ -44,10 +44,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinis.llm.blocks import PACKED, document_blocks, mixed, packed_rows, part_keys, unpacked
-from affinis.llm.common import partitions, release_shuffles, whole_row
+from affinis.llm.common import partitions, whole_row
 from affinis.llm.components import components
 from affinis.operators.pairs import spread
-from affinis.session import materialize, stack
+from affinis.session import materialize, release_shuffles, stack
 
 WORDS = 5
 #: Weight of an expected crowded key against a signature, when a band is laid out.

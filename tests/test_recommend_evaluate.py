@@ -52,3 +52,16 @@ def test_nothing_to_measure_is_null(spark):
     row = ev.evaluate(empty, empty, empty, 5).first()
     assert (row.hits or 0) == 0 and row.precision is None and row.recall is None and row.coverage is None
     assert ev.as_percent(ev.evaluate(empty, empty, empty, 5)).first().recall is None
+
+
+def test_shuffle_files_of_finished_steps_are_released(spark, monkeypatch):
+    """Before a step of an evaluation is run, Spark is told to drop what the steps before it have shuffled."""
+    from affinis.plans import queries
+
+    done, keep = [], queries.materialize
+    monkeypatch.setattr(queries, "materialize", lambda df, label="table", **more: done.append(label) or keep(df, label, **more))
+    monkeypatch.setattr(queries, "release_shuffles", lambda session: done.append("release"))
+    few = lambda rates: rates.selectExpr("item AS item_i", "item + 1 AS item_j", "0.5D AS sim").distinct()
+    recs, train, test = queries._held_out(spark, "/root/testdata/sf0.001", few)
+    assert recs.count() and train.count() and test.count()
+    assert done == ["rates", "release", "model", "release", "recs", "release"]
