@@ -73,3 +73,13 @@ def test_very_large_ids(spark):
     frame = spark.createDataFrame(rows, "user BIGINT, item BIGINT, rate DOUBLE")
     got = sorted(map(tuple, itemcf.cooccurrence(frame).collect()))
     assert got == [(-(2**63), -1, 2), (-(2**63), 2**63 - 1, 2), (-1, 2**63 - 1, 2)]
+
+
+def test_passes_give_the_same_rows(spark):
+    frame = rates_frame(spark, skewed_rates()).withColumn("weight", F.col("item") + 1.0)
+    rows = lambda **limits: sorted(
+        tuple(r) for r in pair_sums(frame, "user", "item", ("rate", "weight"), np.minimum, geometric_mean, 5, task_pairs=2000, **limits).collect()
+    )
+    assert rows(pass_pairs=2000) == rows()
+    written = pair_sums(frame, "user", "item", ("rate", "weight"), np.minimum, geometric_mean, 5, task_pairs=2000, pass_pairs=2000)
+    assert "Exchange" not in plan(written)

@@ -1,3 +1,5 @@
+import pytest
+
 from affinis.operators import evaluate as ev
 from affinis.operators.recommend import recommend
 from tests.conftest import histories, rates_frame, skewed_rates
@@ -65,3 +67,10 @@ def test_shuffle_files_of_finished_steps_are_released(spark, monkeypatch):
     recs, train, test = queries._held_out(spark, "/root/testdata/sf0.001", few)
     assert recs.count() and train.count() and test.count()
     assert done == ["rates", "release", "model", "release", "recs", "release"]
+
+
+@pytest.mark.parametrize("unseen", [False, True])
+def test_passes_give_the_same_recommendations(spark, unseen):
+    model, _ = model_frame(spark)
+    rates = rates_frame(spark, skewed_rates())
+    assert sorted(recommend(rates, model, 7, unseen, pass_entries=400).collect()) == sorted(recommend(rates, model, 7, unseen).collect())

@@ -1,6 +1,7 @@
 """Bucketed tables, models published by two builders, rejected lines, source order, sketches."""
 
 import threading
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -158,3 +159,12 @@ def test_a_local_warehouse_is_no_shared_folder_of_a_cluster(spark, monkeypatch):
         session.shared_dir(Cluster())
     Context.master = "local[4]"
     assert session.shared_dir(Cluster()) == "file:/tmp/warehouse"
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    folders = [Path(str(d)) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f.name for d in folders for f in d.rglob("shuffle_*.data")}
+    before = files()
+    table = session.materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counted")
+    assert not files() - before
+    assert table.count() == 7 and session.materialize(table, "again") is table
