@@ -30,12 +30,11 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinis.functions.fixedpoint import UNITS, exact_sum, from_units, to_units
+from affinis.functions.fixedpoint import UNITS, exact_sum, to_units
 from affinis.operators.itemcf import symmetric
 from affinis.operators.pair_sums import BATCH, TASK_PAIRS, dealt_lists, pair_groups, pair_order, pair_sums, read_lists
 from affinis.operators.pairs import BLOCK_SIZE, member_pairs
 from affinis.operators.prepare import LIST_SPAN
-from affinis.operators.topk import best_first, top_k
 from affinis.session import materialize, stack
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -43,6 +42,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _USERS = ["user_a", "user_b"]
 #: Bits of a word, and the part of all users from which on an item is one: below, pairing users by word makes more rows.
 WORD, DENSE_SHARE = 64, 8
+#: Rows of a task that finds tops, and rows from which the best are chosen at once.
+TASK_ROWS = 1 << 20
 #: Rows of a product of bit matrices, and products that a task holds.
 PRODUCT_ROWS, HELD_PRODUCTS = 10_000, 1_000
 #: Users of the smallest block, of a slice of it that is multiplied at once, pairs of blocks of a task, and how far whole doubles are exact.
@@ -93,15 +94,16 @@ def user_words(baskets: DataFrame, counts: DataFrame, words: DataFrame | None, p
     ``top`` is the most popular item of the user's history, or NULL if the user
     has a second item of its word; ``is_top`` marks that word. Columns of ``payload`` belong to the user.
     """
+    if words is None:
+        return _tops(baskets, counts, payload)
     placed = baskets.join(counts, "item")
     one, best = F.lit(1).cast("bigint"), F.struct("_n", "item").alias("_best")
-    single = placed if words is None else placed.join(words, "item", "left_anti")
+    single = placed.join(words, "item", "left_anti")
     rows = single.select("user", *payload, F.lit(False).alias("dense"), F.col("item").alias("word"), one.alias("bits"), best)
-    if words is not None:
-        mask = F.call_function("shiftleft", one, F.col("bit"))
-        dense = placed.join(words, "item").groupBy("user", *payload, "word")
-        dense = dense.agg(F.bit_or(mask).alias("bits"), F.max(F.struct("_n", "item")).alias("_best"))
-        rows = stack(rows, dense.select("user", *payload, F.lit(True), "word", "bits", "_best"))
+    mask = F.call_function("shiftleft", one, F.col("bit"))
+    dense = placed.join(words, "item").groupBy("user", *payload, "word")
+    dense = dense.agg(F.bit_or(mask).alias("bits"), F.max(F.struct("_n", "item")).alias("_best"))
+    rows = stack(rows, dense.select("user", *payload, F.lit(True), "word", "bits", "_best"))
     tops = rows.groupBy("user").agg(F.max(F.struct("_best", "bits")).alias("_t"))
     alone = F.bit_count("_t.bits") == 1
     tops = tops.select(F.col("user"), F.when(alone, F.col("_t._best.item")).alias("top"))
@@ -109,6 +111,31 @@ def user_words(baskets: DataFrame, counts: DataFrame, words: DataFrame | None, p
     return rows.join(tops, "user").select("user", *payload, "dense", "word", "bits", is_top, "top")
 
 
+def _tops(baskets: DataFrame, counts: DataFrame, payload: Sequence[str]) -> DataFrame:
+    """``user_words`` if every word is one item: a task has all items of its users."""
+    placed = baskets.select("user", "item", *payload).join(counts, "item").select("user", *payload, F.col("item").alias("word"), "_n")
+    width = max(int(baskets.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(counts.agg(F.sum("_n")).first()[0] or 0) // TASK_ROWS))
+    kinds = {f.name: f.dataType.simpleString() for f in placed.schema}
+    schema = [*(f"{c} {kinds[c]}" for c in ("user", *payload, "word")), "top bigint", "is_top boolean"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches)).combine_chunks() if (batches := list(batches)) else None
+        if rows is None or not rows.num_rows:
+            return
+        user, item, n = (rows.column(c).to_numpy() for c in ("user", "word", "_n"))
+        order = np.lexsort((item, n, user))
+        last = np.append(user[order][1:] != user[order][:-1], True)
+        best = item[order][last]
+        top = np.empty(len(user), np.int64)
+        top[order] = np.repeat(best, np.diff(np.append(-1, np.flatnonzero(last))))
+        rows = rows.drop_columns(["_n"]).append_column("top", pa.array(top)).append_column("is_top", pa.array(item == top))
+        yield from rows.to_batches(BATCH)
+
+    found = placed.repartition(width, "user").mapInArrow(run, ", ".join(schema))
+    one = F.lit(1).cast("bigint").alias("bits")
+    return found.select("user", *payload, F.lit(False).alias("dense"), "word", one, "is_top", "top")
+
+
 def shared_words(
     baskets: DataFrame, counts: DataFrame, words: DataFrame | None, payload: Sequence[str] = (), block_size: int = BLOCK_SIZE
 ) -> DataFrame:
@@ -122,7 +149,7 @@ def shared_words(
     """
     members = user_words(baskets, counts, words, payload)
     if words is None:
-        return linked_users(members, payload, block_size)
+        return linked_users(materialize(members, "members"), payload, block_size)
     keys, carried = ["dense", "word"], ["bits"]
     links = member_pairs(members, keys, "user", [*carried, "top", *payload], block_size, F.col("is_top"))
     sides = [f"{p}_{side}" for p in payload for side in "ab"]
@@ -523,5 +550,49 @@ def rounded(sums: DataFrame, places: int = 5) -> DataFrame:
 
 def neighbours(directed: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` best neighbours of every ``item_i`` of a directed score table, ties by lower id."""
-    best = top_k(directed, "item_i", best_first("units", "item_j"), k)
-    return best.select("item_i", "item_j", from_units(F.col("units")).alias("sim"), "rank")
+    short = F.col("units").try_cast("bigint").alias("short")
+    rows = directed.select("item_i", "item_j", short, F.when(short.isNull(), F.col("units")).cast("decimal(38,0)").alias("wide"))
+    kind = "item_i bigint, item_j bigint, short bigint, wide decimal(38,0)"
+    few = rows.mapInArrow(_best(k, False), kind).repartition("item_i")
+    best = few.mapInArrow(_best(k, True), f"{kind}, rank int")
+    units = F.coalesce(F.col("short").cast("double"), F.col("wide").cast("double"))
+    return best.select("item_i", "item_j", (units / F.lit(UNITS)).alias("sim"), "rank")
+
+
+def _best(k: int, ranked: bool):
+    """Function to the ``k`` rows of highest score of every ``item_i``, of some rows at a time or, ``ranked``, of all.
+
+    What is held is cut down to the best whenever ``TASK_ROWS`` more have come. Scores beyond a long are compared as they are.
+    """
+
+    def cut(held: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+        rows = pa.Table.from_batches(held)
+        if rows.column("wide").null_count == rows.num_rows:
+            score = -rows.column("short").to_numpy()
+        else:
+            exact = [w if w is not None else s for s, w in zip(rows.column("short").to_pylist(), rows.column("wide").to_pylist())]
+            place = {v: at for at, v in enumerate(sorted(set(map(int, exact)), reverse=True))}
+            score = np.array([place[int(v)] for v in exact], np.int64)
+        item, other = (rows.column(c).to_numpy() for c in ("item_i", "item_j"))
+        order = np.lexsort((other, score, item))
+        first = np.flatnonzero(np.append(True, item[order][1:] != item[order][:-1]))
+        rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order)))) + 1
+        return rows.take(pa.array(order[rank <= k])), rank[rank <= k].astype(np.int32)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, waiting = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                waiting += batch.num_rows
+            if waiting >= TASK_ROWS:
+                rows, _ = cut(held)
+                held, waiting = rows.to_batches(), 0
+                if not ranked:
+                    yield from held
+                    held = []
+        if held:
+            rows, rank = cut(held)
+            yield from (rows.append_column("rank", pa.array(rank)) if ranked else rows).to_batches(BATCH)
+
+    return run

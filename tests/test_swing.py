@@ -181,3 +181,11 @@ def test_users_of_popular_items_are_no_rows(spark, monkeypatch, share, block_siz
         baskets = histories(rates)
         met = sum(bool(a & b & single) for a, b in combinations(baskets.values(), 2))
         assert sum(t.count() for label, t in written if label == "shared-words") == met
+
+
+def test_best_neighbours_of_scores_longer_than_a_long(spark):
+    units = [10**25 + d for d in (0, 3, 1, 3)] + [7, 5, 9]
+    rows = [(1, j, Decimal(u)) for j, u in enumerate(units)]
+    frame = spark.createDataFrame(rows, "item_i BIGINT, item_j BIGINT, units DECIMAL(38,0)")
+    got = swing.neighbours(frame, 6).orderBy("rank").collect()
+    assert [r.item_j for r in got] == [1, 3, 2, 0, 6, 4] and [r["rank"] for r in got] == [1, 2, 3, 4, 5, 6]
