@@ -74,3 +74,11 @@ def test_passes_give_the_same_recommendations(spark, unseen):
     model, _ = model_frame(spark)
     rates = rates_frame(spark, skewed_rates())
     assert sorted(recommend(rates, model, 7, unseen, pass_entries=400).collect()) == sorted(recommend(rates, model, 7, unseen).collect())
+
+
+def test_rows_are_shuffled_once_to_be_counted(spark):
+    rates = rates_frame(spark, skewed_rates(5))
+    counts = ev.evaluation_counts(rates, rates, rates)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(user" in plan
+    assert not [line for line in plan.splitlines() if "hashpartitioning(user" in line and "item" in line.split("hashpartitioning(user")[1].split(")")[0]]
