@@ -1,10 +1,13 @@
+import random
 from itertools import combinations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from affinis.functions import fixedpoint
 from affinis.operators import itemcf, swing
+from affinis.operators import pair_sums as ps
 from affinis.operators.pair_sums import LIST_ENTRIES, geometric_mean, neighbour_lists, pair_groups, pair_sums
 from tests.conftest import histories, rates_frame, skewed_rates
 
@@ -83,3 +86,33 @@ def test_passes_give_the_same_rows(spark):
     assert rows(pass_pairs=2000) == rows()
     written = pair_sums(frame, "user", "item", ("rate", "weight"), np.minimum, geometric_mean, 5, task_pairs=2000, pass_pairs=2000)
     assert "Exchange" not in plan(written)
+
+
+def lists_of(rows):
+    """Rows ``(a, b, own, met)`` as one task gets them, ``own`` and ``met`` being pairs of a value and a norm."""
+    a, b, own, met = (np.array(c) for c in zip(*rows))
+    lists = ps.Lists(np.ones(len(a), np.int64), [a, *own.T.astype(float)], b, list(met.T.astype(float)))
+    return list(lists.blobs(np.zeros(len(a), np.int64)))
+
+
+@pytest.mark.parametrize("held", [1, 5, 1 << 20])
+def test_a_task_adds_and_ranks_the_same_whenever_it_folds(monkeypatch, held):
+    """Values of pairs that come once are not cut into parts, and only rows with one of the best scores are sorted."""
+    monkeypatch.setattr(ps, "HELD_PAIRS", held)
+    monkeypatch.setattr(ps, "READ_ENTRIES", 1)
+    rng = random.Random(held)
+    value = lambda: rng.choice([0.0, 0.1, -0.1, 3.0, 1e-30, rng.uniform(-9, 9)])
+    rows = [(rng.randrange(4), 10 + rng.randrange(60), (value(), 2.0), (value(), 8.0)) for _ in range(300)]
+    sums = {}
+    for a, b, own, met in rows:
+        sums.setdefault((a, b), []).append(own[0] * met[0])
+    total = {k: fixedpoint.from_parts([p.sum(keepdims=True) for p in fixedpoint.to_parts(np.array(v))])[0] for k, v in sums.items()}
+    score = {k: fixedpoint.forty_bits(np.array([t]) / 4.0)[0] for k, t in total.items()}
+    want = sorted((a, b, score[a, b]) for a in range(4) for b in sorted((y for x, y in score if x == a), key=lambda y: (-score[a, y], y))[:6])
+    sorted_rows, keep = [], np.lexsort
+    monkeypatch.setattr(ps.np, "lexsort", lambda keys: sorted_rows.append(len(keys[0])) or keep(keys))
+    batches = [batch for row in rows for batch in lists_of([row])]
+    got = [r for out in ps._adder(("v", "w"), np.multiply, geometric_mean, 6)(batches) for r in zip(*out.to_pydict().values())]
+    assert sorted(got) == want
+    ties = sum(score[a, b] >= min(s for x, _, s in want if x == a) for a, b in score)
+    assert sorted_rows[-1] <= ties < len(score)

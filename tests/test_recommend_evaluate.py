@@ -1,6 +1,7 @@
 import pytest
 
 from affinis.operators import evaluate as ev
+from affinis.operators import recommend as rc
 from affinis.operators.recommend import recommend
 from tests.conftest import histories, rates_frame, skewed_rates
 
@@ -82,3 +83,21 @@ def test_rows_are_shuffled_once_to_be_counted(spark):
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(user" in plan
     assert not [line for line in plan.splitlines() if "hashpartitioning(user" in line and "item" in line.split("hashpartitioning(user")[1].split(")")[0]]
+
+
+@pytest.mark.parametrize("unseen", [False, True])
+@pytest.mark.parametrize("pass_entries,held", [(1 << 25, 1 << 20), (97, 5), (97, 1 << 20)])
+def test_users_of_an_item_are_packed_and_its_neighbours_joined_once(spark, monkeypatch, unseen, pass_entries, held):
+    """Also where an item's users are several rows, and users are dealt into passes."""
+    monkeypatch.setattr(rc, "ROW_USERS", 4)
+    monkeypatch.setattr(rc, "HELD_PAIRS", held)
+    rates = skewed_rates(5)
+    model, rows = model_frame(spark)
+    joined = []
+    monkeypatch.setattr(rc, "_ranked", lambda packed, *rest, call=rc._ranked: joined.append(packed.count()) or call(packed, *rest))
+    recs = recommend(rates_frame(spark, rates), model, 7, unseen, pass_entries)
+    got = {}
+    for r in sorted(recs.collect(), key=lambda r: r["rank"]):
+        got.setdefault(r.user, []).append(r.item)
+    assert got == {u: items for u, items in brute(rates, rows, 7, unseen).items() if items}
+    assert joined[0] < len(rates) and (len(joined) > 1) == (pass_entries == 97)
