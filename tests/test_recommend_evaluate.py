@@ -101,3 +101,17 @@ def test_users_of_an_item_are_packed_and_its_neighbours_joined_once(spark, monke
         got.setdefault(r.user, []).append(r.item)
     assert got == {u: items for u, items in brute(rates, rows, 7, unseen).items() if items}
     assert joined[0] < len(rates) and (len(joined) > 1) == (pass_entries == 97)
+
+
+def test_users_are_counted_in_tasks(spark, monkeypatch):
+    """Repeated and unknown users and items count as before, in any number of tasks, and no table of users and items is aggregated."""
+    monkeypatch.setattr(ev, "TASK_ROWS", 3)
+    frame = lambda rows: spark.createDataFrame(rows, "user BIGINT, item BIGINT")
+    recs = frame([(1, 0), (1, 0), (1, 5), (2, None), (2, 7), (None, 4), (3, 1), (4, 2)])
+    test = frame([(1, 0), (1, 9), (1, 9), (2, None), (2, 0), (None, 4), (3, 1), (5, 2)])
+    train = frame([(1, 2), (1, 3), (2, 2), (None, 1), (4, 4), (5, 5)])
+    counts = ev.evaluation_counts(recs, train, test)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "HashAggregate(keys=[user#" in line and "item" in line.split("]")[0] and "mark" not in line and "max(" in line]
+    row = counts.first()
+    assert (row.hits, row.users, row.test_items) == (3, 3, 5)  # users 1, 2 and NULL
